@@ -15,18 +15,19 @@ QUEUE_COLUMNS = [
 ]
 
 
-def alert_join(conformity: DataFrame, compliance: DataFrame) -> DataFrame:
-    """Conformity rows with the compliance context an alert shows as evidence."""
-    context = compliance.select(
-        KEY,
-        F.struct(
-            F.col("overall.review_reason").alias("review_reason"),
-            F.col("extraction_diagnostic.divergence_detail").alias("divergence_detail"),
-            F.col("r001_timeliness.verdict").alias("r001"),
-            F.col("r002_party_match.verdict").alias("r002"),
-        ).alias("context"),
+def alert_context() -> Column:
+    """The compliance fields an alert may show as evidence."""
+    return F.struct(
+        F.col("overall.review_reason").alias("review_reason"),
+        F.col("extraction_diagnostic.divergence_detail").alias("divergence_detail"),
+        F.col("r001_timeliness.verdict").alias("r001"),
+        F.col("r002_party_match.verdict").alias("r002"),
     )
-    return conformity.join(context, KEY, "left")
+
+
+def alert_join(conformity: DataFrame, compliance: DataFrame) -> DataFrame:
+    """Stored conformity rows with the compliance context of the same process."""
+    return conformity.join(compliance.select(KEY, alert_context().alias("context")), KEY, "left")
 
 
 def alert_reason(flags: Column, status: Column, review: Column) -> Column:

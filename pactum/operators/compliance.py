@@ -61,13 +61,17 @@ def skipped_contracts(pids: DataFrame, contracts: DataFrame) -> DataFrame:
     return pids.select(KEY).distinct().join(contracts.select(KEY), KEY, "left_anti")
 
 
-def join_contract_publication(contracts: DataFrame, publications: DataFrame) -> DataFrame:
+def join_contract_publication(
+    contracts: DataFrame, publications: DataFrame,
+    contract_extra: list[str] = (), publication_extra: list[str] = (),
+) -> DataFrame:
     """Every contract with its publication's fields, if one was found."""
     emb = F.col("embedded_publication")
     left = contracts.select(
         KEY,
         *[F.col("header")[n].alias(f"c_{n}")
           for n in ("contract_number", "signing_date", "contratante", "contratada")],
+        *[F.col(n).alias(f"c_{n}") for n in contract_extra],
         F.coalesce(emb["found"], F.lit(False)).alias("_found"),
         *[emb[f"{side}_pub"].alias(f"_emb_{side}") for side in ("contratante", "contratada")],
     )
@@ -76,7 +80,8 @@ def join_contract_publication(contracts: DataFrame, publications: DataFrame) ->
         F.lit(True).alias("has_publication"),
         F.col("source").alias("publication_source"),
         *[F.col(n).alias(f"p_{n}")
-          for n in ("contract_number", "publication_date", "contratante", "contratada")],
+          for n in ("contract_number", "publication_date", "contratante", "contratada",
+                    *publication_extra)],
     )
     joined = left.join(right, KEY, "left")
     sides = {
@@ -94,15 +99,15 @@ def join_contract_publication(contracts: DataFrame, publications: DataFrame) ->
     )
 
 
-def diagnostic_inputs(joined: DataFrame, raw_contracts: DataFrame, raw_pubs: DataFrame) -> DataFrame:
+def diagnostic_inputs(joined: DataFrame, raw_texts: DataFrame) -> DataFrame:
     """Add the presence of both raw texts, and what is missing.
 
     Only presence flags cross the join, never the texts.
     """
-    sides = [(raw_contracts, "has_raw_contract"), (raw_pubs, "has_raw_publication")]
-    for raw, name in sides:
-        flag = raw.select(KEY, truthy(F.col("raw_text")).alias(name))
-        joined = joined.join(flag, KEY, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    names = {"contract_text": "has_raw_contract", "publication_text": "has_raw_publication"}
+    flags = raw_texts.select(KEY, *[truthy(F.col(c)).alias(n) for c, n in names.items()])
+    joined = joined.join(flags, KEY, "left").withColumns(
+        {n: F.coalesce(n, F.lit(False)) for n in names.values()})
     missing = names_where(
         [("raw_contract", ~F.col("has_raw_contract")),
          ("raw_publication", ~F.col("has_raw_publication"))]
@@ -163,22 +168,11 @@ def parties_present() -> Column:
     return present
 
 
-def evaluate_compliance(
-    contracts: DataFrame,
-    publications: DataFrame,
-    raw_contracts: DataFrame,
-    raw_pubs: DataFrame,
-    answers: DataFrame,
-) -> DataFrame:
-    """The compliance table: one nested row per contract."""
-    joined = join_contract_publication(contracts, publications)
-    joined = diagnostic_inputs(joined, raw_contracts, raw_pubs)
-    joined = joined.join(answers_by_kind(answers), KEY, "left")
-    return compliance_rows(joined)
-
+def compliance_rows(joined: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """Diagnostics, R001, R002 and overall status of joined contracts.
 
-def compliance_rows(joined: DataFrame) -> DataFrame:
-    """Diagnostics, R001, R002 and overall status of joined contracts."""
+    Columns named in ``carry`` pass through to later stages.
+    """
     df = add_diagnostics(joined)
     published = F.col("has_publication")
     blocked = F.col("diagnostic.agreement_level") == "DIVERGENT"
@@ -261,4 +255,5 @@ def compliance_rows(joined: DataFrame) -> DataFrame:
             calls.alias("api_calls_made"),
             warnings.alias("warnings"),
         ).alias("metadata"),
+        *carry,
     )

@@ -52,8 +52,8 @@ def fallback_join(
     )
 
 
-def score_conformity(joined: DataFrame) -> DataFrame:
-    """One scored row per compliance row."""
+def score_conformity(joined: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """One scored row per compliance row; ``carry`` columns pass through."""
     df = joined.withColumns(
         {
             "_v1": safe_get("r001_timeliness.verdict", "INCONCLUSIVE"),
@@ -134,6 +134,7 @@ def score_conformity(joined: DataFrame) -> DataFrame:
         (F.col("_gate.requires_review") | missing).alias("requires_review"),
         advice.alias("recommendations"),
         "fallback_used",
+        *carry,
     )
 
 

@@ -65,13 +65,13 @@ SELECT processo_id, has_contract_text AS has_raw_contract, has_publication_text
 FROM k_joined WHERE pub""")
 def diagnostic_inputs(t):
     pairs = C.join_contract_publication(t.contracts, t.publications).where("has_publication")
-    return C.diagnostic_inputs(pairs, t.raw_contracts, t.raw_publications).select(
+    return C.diagnostic_inputs(pairs, t.raw_texts).select(
         KEY, "has_raw_contract", "has_raw_publication", "diagnostic_skipped", "diagnostic_warning")
 
 
 def _diagnosed(t):
     pairs = C.join_contract_publication(t.contracts, t.publications)
-    pairs = C.diagnostic_inputs(pairs, t.raw_contracts, t.raw_publications)
+    pairs = C.diagnostic_inputs(pairs, t.raw_texts)
     return C.add_diagnostics(pairs.join(C.answers_by_kind(t.answers), KEY, "left"))
 
 

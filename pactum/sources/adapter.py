@@ -347,15 +347,34 @@ def ordered(names: list[str], views: dict[str, str]) -> list[str]:
     return out
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One audit table as a lazy DataFrame over the driver's Parquet files."""
-    views = ordered([name], SQL)
-    text = " ".join(SQL[v] for v in views)
-    bases = [b for b in BASE if re.search(rf"\b(?:FROM|JOIN)\s+{b}\b", text)]
-    parts = [f"{b} AS (SELECT * FROM parquet.`{sf_dir}/{b}.parquet`)" for b in bases]
-    parts += [f"{v} AS ({SQL[v]})" for v in views]
-    return spark.sql(f"WITH {', '.join(parts)} SELECT * FROM {name}")
+_VIEWS: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _registered(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Temporary view names already made for this application and folder."""
+    return _VIEWS.setdefault((spark.sparkContext.applicationId, sf_dir), {})
+
 
+def _view(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Register one base or derived table as a lazy view, after all it reads."""
+    made = _registered(spark, sf_dir)
+    if name in made:
+        return made[name]
+    alias = f"pactum_{len(_VIEWS)}_{name}"
+    if name in SQL:
+        def inner(match: re.Match) -> str:
+            other = match.group(2)
+            known = other in SQL or other in BASE
+            return f"{match.group(1)} {_view(spark, sf_dir, other) if known else other}"
 
-def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        df = spark.sql(re.sub(r"\b(FROM|JOIN)\s+([a-z][a-z_0-9]*)\b", inner, SQL[name]))
+    else:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df.createOrReplaceTempView(alias)
+    made[name] = alias
+    return alias
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One base or derived table as a lazy DataFrame over the driver's Parquet files."""
+    return spark.table(_view(spark, sf_dir, name))

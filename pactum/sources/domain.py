@@ -7,9 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.operators import alerts as alert_ops
-from pactum.operators.compliance import evaluate_compliance
-from pactum.operators.conformity import fallback_join, score_conformity
+from pactum.operators.evaluate import evaluate
 from pactum.sources import adapter
 
 KEY = "processo_id"
@@ -25,7 +23,7 @@ class Tables:
         return adapter.table(self.spark, self.sf_dir, name)
 
     def base(self, name: str) -> DataFrame:
-        return adapter.base(self.spark, self.sf_dir, name)
+        return adapter.table(self.spark, self.sf_dir, name)
 
     @cached_property
     def links(self) -> DataFrame:
@@ -54,31 +52,28 @@ class Tables:
         return self.view("publications")
 
     @cached_property
-    def raw_contracts(self) -> DataFrame:
-        return self.view("raw_presence").select(KEY, F.col("contract_text").alias("raw_text"))
-
-    @cached_property
-    def raw_publications(self) -> DataFrame:
-        return self.view("raw_presence").select(KEY, F.col("publication_text").alias("raw_text"))
+    def raw_texts(self) -> DataFrame:
+        return self.view("raw_presence")
 
     @cached_property
     def answers(self) -> DataFrame:
         return self.view("answer_rows")
 
     @cached_property
+    def stages(self):
+        return evaluate(self.contracts, self.publications, self.raw_texts, self.answers)
+
+    @property
     def compliance(self) -> DataFrame:
-        return evaluate_compliance(
-            self.contracts, self.publications, self.raw_contracts, self.raw_publications,
-            self.answers)
+        return self.stages.compliance
 
-    @cached_property
+    @property
     def conformity(self) -> DataFrame:
-        return score_conformity(
-            fallback_join(self.compliance, self.contracts, self.publications))
+        return self.stages.conformity
 
-    @cached_property
+    @property
     def alerts(self) -> DataFrame:
-        return alert_ops.classify_alerts(alert_ops.alert_join(self.conformity, self.compliance))
+        return self.stages.alerts
 
     @cached_property
     def gazette_docs(self) -> DataFrame:
