@@ -6,13 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactum import constants as K
+from pactum.functions.dates import parse_dmy
 from pactum.functions.text import truthy
-from pactum.operators.diagnostic import add_comparison, answer_warning, merge_diagnostics
+from pactum.operators.diagnostic import (
+    answer_warning,
+    compared,
+    field_checks,
+    merge_diagnostics,
+)
 from pactum.operators.rules import (
-    add_party_match,
-    add_timeliness,
+    match_answer,
     names_where,
     overall_status,
+    parse_object,
+    party_match,
+    timeliness,
     undecided,
 )
 
@@ -83,19 +91,16 @@ def join_contract_publication(
           for n in ("contract_number", "publication_date", "contratante", "contratada",
                     *publication_extra)],
     )
-    joined = left.join(right, KEY, "left")
-    sides = {
-        f"p_{side}": embedded_party(
-            F.col("_found") & F.col("has_publication"),
-            F.col(f"_emb_{side}"),
-            F.col(f"p_{side}"),
-        )
-        for side in ("contratante", "contratada")
-    }
-    return (
-        joined.withColumn("has_publication", F.coalesce("has_publication", F.lit(False)))
-        .withColumns(sides)
-        .drop("_found", "_emb_contratante", "_emb_contratada")
+    sides = ("contratante", "contratada")
+    keep = [c for c in [*left.columns, *right.columns]
+            if not c.startswith("_") and c not in (KEY, "has_publication", *[f"p_{s}" for s in sides])]
+    found = F.col("_found") & F.col("has_publication")
+    return left.join(right, KEY, "left").select(
+        KEY,
+        F.coalesce("has_publication", F.lit(False)).alias("has_publication"),
+        *keep,
+        *[embedded_party(found, F.col(f"_emb_{s}"), F.col(f"p_{s}")).alias(f"p_{s}")
+          for s in sides],
     )
 
 
@@ -106,14 +111,15 @@ def diagnostic_inputs(joined: DataFrame, raw_texts: DataFrame) -> DataFrame:
     """
     names = {"contract_text": "has_raw_contract", "publication_text": "has_raw_publication"}
     flags = raw_texts.select(KEY, *[truthy(F.col(c)).alias(n) for c, n in names.items()])
-    joined = joined.join(flags, KEY, "left").withColumns(
-        {n: F.coalesce(n, F.lit(False)) for n in names.values()})
+    joined = joined.join(flags, KEY, "left")
+    present = {n: F.coalesce(n, F.lit(False)) for n in names.values()}
     missing = names_where(
-        [("raw_contract", ~F.col("has_raw_contract")),
-         ("raw_publication", ~F.col("has_raw_publication"))]
+        [("raw_contract", ~present["has_raw_contract"]),
+         ("raw_publication", ~present["has_raw_publication"])]
     )
     return joined.withColumns(
         {
+            **present,
             "diagnostic_skipped": F.size(missing) > 0,
             "diagnostic_warning": F.when(
                 F.size(missing) > 0,
@@ -124,26 +130,45 @@ def diagnostic_inputs(joined: DataFrame, raw_texts: DataFrame) -> DataFrame:
     )
 
 
+CONTRACT_SIDE = {
+    "processo_id": KEY, "contract_number": "c_contract_number",
+    "signing_date": "c_signing_date", "contratante": "c_contratante",
+    "contratada": "c_contratada",
+}
+PUBLICATION_SIDE = {
+    "processo_id": KEY, "contract_number": "p_contract_number",
+    "publication_date": "p_publication_date", "contratante": "p_contratante",
+    "contratada": "p_contratada",
+}
+
+
 def add_diagnostics(df: DataFrame) -> DataFrame:
     """Both comparisons and their merge; none without inputs or publication."""
     usable = F.col("has_publication") & ~F.col("diagnostic_skipped")
-    for kind in ("contract", "publication"):
-        df = df.withColumn(f"answer_{kind}", F.when(usable, F.col(f"answer_{kind}")))
-    df = add_comparison(
-        df, "answer_contract",
-        {"processo_id": KEY, "contract_number": "c_contract_number",
-         "signing_date": "c_signing_date", "contratante": "c_contratante",
-         "contratada": "c_contratada"},
-        K.CONTRACT_FIELD_MAP, "contract_diag",
+    df = df.withColumns(
+        {
+            "_usable": usable,
+            "_signed": parse_dmy(F.col("c_signing_date")),
+            "_published": parse_dmy(F.col("p_publication_date")),
+            **{f"_{kind}": F.when(usable, parse_object(F.col(f"answer_{kind}")))
+               for kind in ("contract", "publication")},
+        }
     )
-    df = add_comparison(
-        df, "answer_publication",
-        {"processo_id": KEY, "contract_number": "p_contract_number",
-         "publication_date": "p_publication_date", "contratante": "p_contratante",
-         "contratada": "p_contratada"},
-        K.PUBLICATION_FIELD_MAP, "publication_diag",
+    df = df.withColumns(
+        {
+            "_c_checks": field_checks(F.col("_contract"), CONTRACT_SIDE, K.CONTRACT_FIELD_MAP),
+            "_p_checks": field_checks(
+                F.col("_publication"), PUBLICATION_SIDE, K.PUBLICATION_FIELD_MAP),
+        }
+    )
+    df = df.withColumns(
+        {
+            "contract_diag": compared(F.col("_contract"), F.col("_c_checks")),
+            "publication_diag": compared(F.col("_publication"), F.col("_p_checks")),
+        }
     )
     contract, publication = F.col("contract_diag"), F.col("publication_diag")
+    usable = F.col("_usable")
     warnings = F.array_compact(
         F.array(
             F.when(usable, answer_warning(F.col("answer_contract"), contract, "contract")),
@@ -176,28 +201,26 @@ def compliance_rows(joined: DataFrame, carry: list[str] = ()) -> DataFrame:
     df = add_diagnostics(joined)
     published = F.col("has_publication")
     blocked = F.col("diagnostic.agreement_level") == "DIVERGENT"
+    asked = parties_present() & ~blocked
+    answer = F.when(asked, F.col("answer_r002"))
     df = df.withColumns(
-        {
-            "_divergent": F.col("diagnostic.fields_divergent"),
-            "_parties": parties_present(),
-            "_asked": parties_present() & ~blocked,
-        }
-    )
-    df = df.withColumn("_r002_answer", F.when(F.col("_asked"), F.col("answer_r002")))
-    df = add_timeliness(df, "c_signing_date", "p_publication_date", "_divergent")
-    df = add_party_match(
-        df,
-        {"contract_contratante": "c_contratante", "pub_contratante": "p_contratante",
-         "contract_contratada": "c_contratada", "pub_contratada": "p_contratada"},
-        "_r002_answer", "_divergent",
-    )
+        {"_parties": parties_present(), "_asked": asked, "_r002": parse_object(answer)})
     nothing = undecided(NO_PUBLICATION, "No publication file found for this processo.")
+    divergent = F.col("diagnostic.fields_divergent")
+    r001 = timeliness(
+        F.col("c_signing_date"), F.col("p_publication_date"), F.col("_signed"),
+        F.col("_published"), divergent)
     df = df.withColumns(
         {
-            "r001": F.when(published, F.col("r001")).otherwise(nothing),
-            "r002": F.when(published, F.col("r002")).otherwise(nothing),
+            "_said": match_answer(F.col("_r002")),
+            "r001": F.when(published, r001).otherwise(nothing),
         }
     )
+    r002 = party_match(
+        {"contract_contratante": F.col("c_contratante"), "pub_contratante": F.col("p_contratante"),
+         "contract_contratada": F.col("c_contratada"), "pub_contratada": F.col("p_contratada")},
+        F.when(F.col("_asked"), F.col("answer_r002")), F.col("_r002"), F.col("_said"), divergent)
+    df = df.withColumn("r002", F.when(published, r002).otherwise(nothing))
     r001, r002 = F.col("r001"), F.col("r002")
     status = overall_status(
         r001["verdict"], r002["verdict"], F.col("diagnostic.agreement_level"))

@@ -6,15 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactum import constants as K
+from pactum.functions.money import parse_brl
 from pactum.functions.text import filled, truthy
 from pactum.operators.rules import (
-    add_value_check,
     diagnostic_impact,
     final_status,
-    gating,
+    gated_score,
+    gating_flag,
+    gating_review,
     r003_identifier,
+    r004_value,
     rule_status,
     skipped_rule,
+    value_gap,
     verdict_score,
     weighted_score,
 )
@@ -63,16 +67,19 @@ def score_conformity(joined: DataFrame, carry: list[str] = ()) -> DataFrame:
                 (F.col("overall.status") == "INCONCLUSIVE")
                 & (F.col("overall.review_reason") == "no_publication_found"),
                 F.lit(False)),
+            "_cv": parse_brl(F.col("contract_value")),
+            "_pv": parse_brl(F.col("publication_value")),
         }
     )
     level, missing = F.col("_level"), F.col("_missing")
     divergent = F.upper(level) == "DIVERGENT"
-    df = add_value_check(df, "contract_value", "publication_value", "_r004")
     r003 = r003_identifier(F.col("contract_number_contract"), F.col("contract_number_publication"))
+    c, p = F.col("_cv"), F.col("_pv")
     df = df.withColumns(
         {
             "_r003": F.when(divergent, skipped_rule()).otherwise(r003),
-            "_r004": F.when(divergent, skipped_rule()).otherwise(F.col("_r004")),
+            "_r004": F.when(divergent, skipped_rule()).otherwise(
+                r004_value(c, p, value_gap(c, p))),
         }
     )
     verdicts = {
@@ -81,21 +88,19 @@ def score_conformity(joined: DataFrame, carry: list[str] = ()) -> DataFrame:
     }
     df = df.withColumns({f"_s{rule}": verdict_score(verdicts[rule]) for rule in K.RULES})
     scores = {rule: F.col(f"_s{rule}") for rule in K.RULES}
-    df = df.withColumn("_gate", gating(weighted_score(scores), level))
     df = df.withColumns(
         {
-            "conformity_score": F.when(missing, 0.0).otherwise(F.col("_gate.score")),
-            "flags": F.concat(
-                F.col("_gate.flags"),
-                F.array_compact(F.array(F.when(missing, "MISSING_PUBLICATION")))),
+            "conformity_score": F.when(missing, 0.0).otherwise(
+                gated_score(weighted_score(scores), level)),
+            "flags": F.array_compact(
+                F.array(gating_flag(level), F.when(missing, "MISSING_PUBLICATION"))),
         }
     )
     flags = F.col("flags")
     advice = F.array_compact(
         F.array(*[F.when(F.array_contains(flags, flag), text)
                   for flag, text in K.RECOMMENDATIONS.items()]))
-    status = F.coalesce(
-        F.col("_gate.forced_status"), final_status(F.col("conformity_score"), level, missing))
+    status = final_status(F.col("conformity_score"), level, missing)
     used = ["contract_number_contract", "contract_number_publication",
             "contract_value", "publication_value"]
     breakdown = F.create_map(
@@ -131,7 +136,7 @@ def score_conformity(joined: DataFrame, carry: list[str] = ()) -> DataFrame:
         "conformity_score",
         status.alias("overall_status"),
         "flags",
-        (F.col("_gate.requires_review") | missing).alias("requires_review"),
+        (gating_review(level) | missing).alias("requires_review"),
         advice.alias("recommendations"),
         "fallback_used",
         *carry,

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pactum import constants as K
 from pactum.functions.dates import parse_dmy
 from pactum.functions.names import normalise_name
 from pactum.functions.text import quoted, truthy
-from pactum.operators.rules import json_text, parse_object
+from pactum.operators.rules import json_text
 
 DETAIL = "map<string,string>"
 
@@ -40,15 +40,8 @@ def agreement_level(checks: Column) -> Column:
     )
 
 
-def add_comparison(
-    df: DataFrame, response: str, deterministic: dict[str, str], field_map: list, out: str
-) -> DataFrame:
-    """Compare deterministic columns with a JSON answer, field by field.
-
-    ``out`` is null where the answer is missing or is no JSON object.
-    """
-    answer, checks = F.col(f"_{out}_answer"), F.col(f"_{out}_checks")
-    df = df.withColumn(f"_{out}_answer", parse_object(F.col(response)))
+def field_checks(answer: Column, deterministic: dict[str, str], field_map: list) -> Column:
+    """One (field, det, llm, match, critical) check per entry of the field map."""
 
     def check(field: str, det_key: str, answer_key: str, kind: str, critical: bool) -> Column:
         left = F.col(deterministic[det_key])
@@ -62,7 +55,11 @@ def add_comparison(
             F.lit(critical).alias("critical"),
         )
 
-    df = df.withColumn(f"_{out}_checks", F.array(*[check(*entry) for entry in field_map]))
+    return F.array(*[check(*entry) for entry in field_map])
+
+
+def compared(answer: Column, checks: Column) -> Column:
+    """The diagnostic of one side; null where there is no JSON object to compare."""
     divergent = F.filter(checks, lambda x: ~x["match"])
     detail = F.map_from_entries(
         F.transform(
@@ -74,7 +71,7 @@ def add_comparison(
         )
     )
     level = agreement_level(checks)
-    result = F.when(
+    return F.when(
         answer.isNotNull(),
         F.struct(
             level.alias("agreement_level"),
@@ -85,7 +82,6 @@ def add_comparison(
             (level != "CONFIRMED").alias("auditor_action_required"),
         ),
     )
-    return df.withColumn(out, result).drop(f"_{out}_answer", f"_{out}_checks")
 
 
 def answer_warning(response: Column, diagnostic: Column, side: str) -> Column:

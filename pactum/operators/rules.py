@@ -1,17 +1,15 @@
 """The four audit rules and their scoring, as column expressions.
 
-The ``add_*`` functions stage parsed values as columns first, so that a value
-used by many branches is computed once per row.
+Rules take parsed dates, amounts and answers next to their texts: callers stage
+those as columns, so a value used by many branches is computed once per row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pactum import constants as K
-from pactum.functions.dates import parse_dmy
-from pactum.functions.money import parse_brl
 from pactum.functions.text import quoted, quoted_list, strip, text_or_blank, truthy
 
 LIMIT = K.PUBLICATION_DEADLINE_DAYS
@@ -40,23 +38,21 @@ def undecided(reason: str, explanation, confidence="n/a", days=None) -> Column:
     return rule_result("INCONCLUSIVE", explanation, confidence, True, reason, days)
 
 
-def add_timeliness(
-    df: DataFrame, signing: str, publication: str, divergent: str, out: str = "r001"
-) -> DataFrame:
-    """R001: published within the legal limit after signing."""
-    s, p = F.col(signing), F.col(publication)
-    df = df.withColumns({"_signed": parse_dmy(s), "_published": parse_dmy(p)})
-    df = df.withColumn("_delta", F.datediff("_published", "_signed"))
-    signed, published, delta = F.col("_signed"), F.col("_published"), F.col("_delta")
+def timeliness(s: Column, p: Column, signed: Column, published: Column, divergent: Column) -> Column:
+    """R001: published within the legal limit after signing.
+
+    Takes both date texts and their parsed values, so parsing happens once.
+    """
+    delta = F.datediff(published, signed)
     diverged = F.array_intersect(
-        F.array(F.lit("signing_date"), F.lit("publication_date")), F.col(divergent)
+        F.array(F.lit("signing_date"), F.lit("publication_date")), divergent
     )
     missing = names_where([("signing_date", ~truthy(s)), ("publication_date", ~truthy(p))])
     published_after = F.concat(
         F.format_string("Contract published %d day(s) after signing (", delta),
         s, F.lit(" → "), p, F.lit("). "),
     )
-    result = (
+    return (
         F.when(
             F.size(diverged) > 0,
             undecided(
@@ -122,7 +118,6 @@ def add_timeliness(
             )
         )
     )
-    return df.withColumn(out, result).drop("_signed", "_published", "_delta")
 
 
 def json_truth(node: Column) -> Column:
@@ -160,45 +155,48 @@ def diverged_parties(divergent: Column) -> Column:
     return F.sort_array(F.array_intersect(divergent, parties))
 
 
-def add_party_match(
-    df: DataFrame, names: dict[str, str], response: str, divergent: str, out: str = "r002"
-) -> DataFrame:
-    """R002: both parties named alike; ``names`` maps the four roles to columns."""
-    answer = F.col(response)
-    df = df.withColumn("_answer", parse_object(answer))
+def match_answer(answer: Column) -> Column:
+    """The six answers of a party comparison, read from its JSON object."""
 
     def node(key: str) -> Column:
-        return F.try_variant_get(F.col("_answer"), f"$.{key}", "variant")
-
-    df = df.withColumns(
-        {
-            "_conf": F.lower(json_text(node("confidence"), "low")),
-            "_overall": json_text(node("overall_verdict"), ""),
-            "_hiring_ok": json_truth(node("contratante_match")),
-            "_hired_ok": json_truth(node("contratada_match")),
-            "_hiring_why": json_text(node("contratante_explanation"), ""),
-            "_hired_why": json_text(node("contratada_explanation"), ""),
-        }
+        return F.try_variant_get(answer, f"$.{key}", "variant")
+
+    return F.struct(
+        F.lower(json_text(node("confidence"), "low")).alias("confidence"),
+        json_text(node("overall_verdict"), "").alias("overall"),
+        json_truth(node("contratante_match")).alias("hiring_ok"),
+        json_truth(node("contratada_match")).alias("hired_ok"),
+        json_text(node("contratante_explanation"), "").alias("hiring_why"),
+        json_text(node("contratada_explanation"), "").alias("hired_why"),
     )
+
+
+def party_match(
+    value: dict[str, Column], answer: Column, parsed: Column, said: Column, divergent: Column
+) -> Column:
+    """R002: both parties named alike.
+
+    ``value`` maps the four roles to names, ``answer`` is the raw response,
+    ``parsed`` its JSON object or null, ``said`` the fields of `match_answer`.
+    """
     roles = ["contract_contratante", "pub_contratante", "contract_contratada", "pub_contratada"]
-    value = {role: F.col(names[role]) for role in roles}
     missing = names_where([(role, ~truthy(value[role])) for role in roles])
-    diverged = diverged_parties(F.col(divergent))
-    hiring_ok, hired_ok = F.col("_hiring_ok"), F.col("_hired_ok")
-    conf, overall = F.col("_conf"), F.upper(F.col("_overall"))
+    diverged = diverged_parties(divergent)
+    hiring_ok, hired_ok = said["hiring_ok"], said["hired_ok"]
+    conf, overall = said["confidence"], F.upper(said["overall"])
 
     def side(label: str, left: str, right: str, ok: Column, why: str) -> list[Column]:
         return [
             F.lit(f"{label}: "), quoted(value[left]), F.lit(" ↔ "), quoted(value[right]),
-            F.lit(" → "), F.when(ok, "match").otherwise("MISMATCH"), F.lit(". "), F.col(why),
+            F.lit(" → "), F.when(ok, "match").otherwise("MISMATCH"), F.lit(". "), said[why],
         ]
 
     summary = F.concat(
-        *side("Contratante", roles[0], roles[1], hiring_ok, "_hiring_why"),
+        *side("Contratante", roles[0], roles[1], hiring_ok, "hiring_why"),
         F.lit(" | "),
-        *side("Contratada", roles[2], roles[3], hired_ok, "_hired_why"),
+        *side("Contratada", roles[2], roles[3], hired_ok, "hired_why"),
     )
-    result = (
+    return (
         F.when(
             F.size(diverged) > 0,
             undecided(
@@ -231,7 +229,7 @@ def add_party_match(
             ),
         )
         .when(
-            F.col("_answer").isNull(),
+            parsed.isNull(),
             undecided(
                 "llm_parse_error",
                 F.concat(
@@ -248,7 +246,7 @@ def add_party_match(
                 F.concat(
                     F.lit("LLM expressed low confidence in the party name comparison. "
                           "Contratante: "),
-                    F.col("_hiring_why"), F.lit(" | Contratada: "), F.col("_hired_why"),
+                    said["hiring_why"], F.lit(" | Contratada: "), said["hired_why"],
                     F.lit(". Auditor must verify party names manually."),
                 ),
                 "low",
@@ -264,16 +262,13 @@ def add_party_match(
             undecided(
                 "llm_unexpected_verdict",
                 F.concat(
-                    F.lit("LLM returned unexpected verdict '"), F.col("_overall"), F.lit("'. "),
+                    F.lit("LLM returned unexpected verdict '"), said["overall"], F.lit("'. "),
                     summary,
                 ),
                 conf,
             )
         )
     )
-    return df.withColumn(out, result).drop(
-        "_answer", "_conf", "_overall", "_hiring_ok", "_hired_ok", "_hiring_why", "_hired_why"
-    )
 
 
 def score_result(verdict: str, score: int, explanation, pct: Column | float | None = None) -> Column:
@@ -312,19 +307,14 @@ def r003_identifier(contract_number: Column, publication_number: Column) -> Colu
     )
 
 
-def add_value_check(
-    df: DataFrame, contract_value: str, publication_value: str, out: str = "r004"
-) -> DataFrame:
+def value_gap(c: Column, p: Column) -> Column:
+    """Difference in percent of the contract value; null for a zero contract."""
+    return F.when(c != 0.0, F.round(F.abs(c - p) / F.abs(c) * 100, 6))
+
+
+def r004_value(c: Column, p: Column, pct: Column) -> Column:
     """R004: the same value on both sides, within one percent at most."""
-    df = df.withColumns(
-        {"_cv": parse_brl(F.col(contract_value)), "_pv": parse_brl(F.col(publication_value))}
-    )
-    c, p = F.col("_cv"), F.col("_pv")
-    df = df.withColumn(
-        "_pct", F.when(c != 0.0, F.round(F.abs(c - p) / F.abs(c) * 100, 6))
-    )
-    pct = F.col("_pct")
-    result = (
+    return (
         F.when(
             c.isNull() | p.isNull(),
             score_result(
@@ -339,7 +329,6 @@ def add_value_check(
         .when(pct <= 1.0, score_result("PARTIAL", 75, "Values differ by up to 1%.", pct))
         .otherwise(score_result("FAIL", 0, "Values differ by more than 1%.", pct))
     )
-    return df.withColumn(out, result).drop("_cv", "_pv", "_pct")
 
 
 def lookup(key: Column, table: dict[str, object], default) -> Column:
@@ -369,27 +358,27 @@ def agreement_key(level: Column) -> Column:
     return F.upper(strip(F.when(truthy(level), level).otherwise("SKIPPED")))
 
 
-def gating(score: Column, level: Column) -> Column:
-    """Effect of the extraction diagnostic on score, status, flags and review."""
+def gated_score(score: Column, level: Column) -> Column:
+    """Score after the extraction diagnostic: zeroed, capped or kept."""
     key = agreement_key(level)
-    flag = lookup(
-        key,
-        {"DIVERGENT": "DIAGNOSTIC_DIVERGENCE", "PARTIAL": "DIAGNOSTIC_PARTIAL",
-         "SKIPPED": "DIAGNOSTIC_SKIPPED"},
-        None,
-    )
-    return F.struct(
+    return (
         F.when(key == "DIVERGENT", 0.0)
         .when(key == "PARTIAL", F.least(score, F.lit(K.PARTIAL_SCORE_CAP)))
         .otherwise(score)
-        .alias("score"),
-        F.when(key == "DIVERGENT", "INCOMPLETE").alias("forced_status"),
-        F.array_compact(F.array(flag)).alias("flags"),
-        key.isin("DIVERGENT", "PARTIAL").alias("requires_review"),
-        (key == "DIVERGENT").alias("skip_r003_r004"),
     )
 
 
+def gating_flag(level: Column) -> Column:
+    """The flag the diagnostic raises, null for none."""
+    flags = {"DIVERGENT": "DIAGNOSTIC_DIVERGENCE", "PARTIAL": "DIAGNOSTIC_PARTIAL",
+             "SKIPPED": "DIAGNOSTIC_SKIPPED"}
+    return lookup(agreement_key(level), flags, None)
+
+
+def gating_review(level: Column) -> Column:
+    return agreement_key(level).isin("DIVERGENT", "PARTIAL")
+
+
 def final_status(score: Column, level: Column, missing_publication: Column) -> Column:
     return (
         F.when(missing_publication | (agreement_key(level) == "DIVERGENT"), "INCOMPLETE")

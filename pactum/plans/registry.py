@@ -40,5 +40,5 @@ def full_check(check: str) -> str:
     names = adapter.ordered(["_check"], views)[:-1]
     if not names:
         return check
-    ctes = ", ".join(f"{n} AS ({views[n]})" for n in names)
+    ctes = ", ".join(f"{n} AS MATERIALIZED ({views[n]})" for n in names)
     return f"WITH {ctes} {check}"

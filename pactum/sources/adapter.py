@@ -347,12 +347,12 @@ def ordered(names: list[str], views: dict[str, str]) -> list[str]:
     return out
 
 
-_VIEWS: dict[tuple[str, str], dict[str, str]] = {}
+_VIEWS: dict[tuple[int, str], dict[str, str]] = {}
 
 
 def _registered(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Temporary view names already made for this application and folder."""
-    return _VIEWS.setdefault((spark.sparkContext.applicationId, sf_dir), {})
+    """Temporary view names already made for this session and folder."""
+    return _VIEWS.setdefault((id(spark), sf_dir), {})
 
 
 def _view(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -360,7 +360,7 @@ def _view(spark: SparkSession, sf_dir: str, name: str) -> str:
     made = _registered(spark, sf_dir)
     if name in made:
         return made[name]
-    alias = f"pactum_{len(_VIEWS)}_{name}"
+    alias = f"pactum_{abs(hash(sf_dir))}_{name}"
     if name in SQL:
         def inner(match: re.Match) -> str:
             other = match.group(2)

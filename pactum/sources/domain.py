@@ -86,3 +86,14 @@ class Tables:
     @cached_property
     def run_log(self) -> DataFrame:
         return self.view("run_log")
+
+
+_OPEN: dict[tuple[int, str], Tables] = {}
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The tables of one folder; their lazy plans are built once per session."""
+    key = (id(spark), sf_dir)
+    if key not in _OPEN:
+        _OPEN[key] = Tables(spark, sf_dir)
+    return _OPEN[key]
