@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["evaluate"]
+MODULES = ["evaluate", "discover", "operate"]
 
 
 def load() -> None:

@@ -325,6 +325,21 @@ UNION ALL SELECT processo_id, 'preprocessed' AS artifact, k FROM contracts
 UNION ALL SELECT pid AS processo_id, 'pub_structured' AS artifact, k FROM seed WHERE status <> 'F' AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = k)
 UNION ALL SELECT processo_id, 'compliance' AS artifact, k FROM contracts WHERE signing_date IS NOT NULL AND document_type = 'contract'
 UNION ALL SELECT processo_id, 'conformity' AS artifact, k FROM contracts WHERE contratante IS NOT NULL AND document_type = 'contract' AND contract_number IS NOT NULL""",
+    "artifact_docs": """
+SELECT processo_id, artifact, k,
+       '{"processo_id": "' || processo_id || '"' ||
+       (CASE WHEN artifact = 'compliance' THEN ', "overall": {"status": "' ||
+          (CASE WHEN k % 2 = 0 THEN 'PASS' ELSE 'INCONCLUSIVE' END) || '", "review_reason": ' ||
+          (CASE WHEN k % 5 = 0 THEN '"Parse_Error"' ELSE 'null' END) || '}' ELSE '' END) ||
+       (CASE WHEN k % 27 = 0 AND artifact <> 'conformity' THEN ', "error": "x"' ELSE '' END) || '}' AS body
+FROM artifacts""",
+    "finished_suppliers": """
+SELECT DISTINCT o_custkey AS company_id FROM orders
+WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""",
+    "page_candidates": """
+SELECT doc_id, 'digital' AS source, CASE WHEN lang = 'fr' THEN NULL ELSE text END AS text FROM documents
+UNION ALL
+SELECT doc_id, 'ocr_columns' AS source, CASE WHEN lang = 'es' THEN NULL ELSE text END AS text FROM documents"""
 }
 
 
