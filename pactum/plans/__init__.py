@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["evaluate", "discover", "operate"]
+MODULES = ["evaluate", "discover", "operate", "report"]
 
 
 def load() -> None:

@@ -209,4 +209,33 @@ FROM k_reason""",
     "k_queue": """
 SELECT *, CASE alert_level WHEN 'FAILED' THEN 1 WHEN 'REVIEW' THEN 2 ELSE 3 END AS prio
 FROM k_alerts WHERE alert_level <> 'OK'""",
+    "k_artifacts": """
+SELECT processo_id, artifact, coalesce(list_contains(json_keys(body), 'error'), false)
+  OR (artifact = 'compliance' AND body ->> '$.overall.status' = 'INCONCLUSIVE'
+      AND coalesce(contains(lower(body ->> '$.overall.review_reason'), 'error'), false)) AS is_error FROM artifact_docs""",
+    "k_found": """
+SELECT l.processo_id, l.n_links, {} FROM (SELECT processo_id, count(*) AS n_links FROM links WHERE processo_id <> '' GROUP BY 1) l
+{}""".format(
+        ", ".join(f"a_{a}.processo_id IS NOT NULL AS has_{a}, coalesce(a_{a}.is_error, false) AS err_{a}" for a in K.ARTIFACTS),
+        " ".join(f"LEFT JOIN (SELECT * FROM k_artifacts WHERE artifact = '{a}') a_{a} ON a_{a}.processo_id = l.processo_id" for a in K.ARTIFACTS)),
+    "k_state": """
+SELECT *, replace(processo_id, '/', '_') AS pid_safe, CASE WHEN has_conformity THEN 'SCORED' WHEN has_compliance THEN 'COMPLIANCE' WHEN has_preprocessed AND has_pub_structured THEN 'PREPROCESSED'
+   WHEN has_pub_raw THEN 'PUB_FOUND' WHEN has_raw THEN 'EXTRACTED' ELSE 'DISCOVERED' END AS pipeline_stage,
+  CASE WHEN has_conformity THEN err_conformity WHEN has_compliance THEN err_compliance WHEN has_preprocessed THEN err_preprocessed
+   WHEN has_pub_raw THEN err_pub_raw WHEN has_raw THEN err_raw ELSE false END AS error_flag FROM k_found""",
+    "k_meta": """
+SELECT trim(processo_id) AS processo_id, arg_max(coalesce(company_name, ''), pos) AS company_name, arg_max(contract_value, pos) AS contract_value
+FROM links WHERE trim(processo_id) <> '' GROUP BY 1""",
+    "k_report": """
+SELECT k.processo_id, k.pipeline_stage, k.error_flag, k.has_raw, k.has_pub_raw, k.has_preprocessed, k.has_pub_structured,
+  coalesce(m.company_name, '') AS company_name, coalesce(m.contract_value, '') AS contract_value, coalesce(c.signing_date, '') AS contract_date,
+  coalesce(p.publication_date, '') AS publication_date, date_diff('day', {}, {}) AS days_to_publish,
+  coalesce(s.final, '') AS overall_status, CAST(coalesce(s.score, 0.0) AS DOUBLE) AS conformity_score, coalesce(s.level, '') AS agreement_level,
+  coalesce(s.v1, '') AS R001_verdict, coalesce(s.v2, '') AS R002_verdict, coalesce(s.v3, '') AS R003_verdict, coalesce(s.v4, '') AS R004_verdict,
+  s.s1, s.s2, s.s3, s.s4, coalesce(s.flags, []) AS flags, coalesce(s.review, false) AS requires_review,
+  CASE WHEN s.v1 = 'FAIL' THEN 'R001' WHEN s.v2 = 'FAIL' THEN 'R002' WHEN s.v3 = 'FAIL' THEN 'R003' WHEN s.v4 = 'FAIL' THEN 'R004' ELSE '' END AS primary_violation,
+  CASE WHEN s.score >= 90 THEN 'BAIXA' WHEN s.score >= 60 THEN 'MÉDIA' ELSE 'ALTA' END AS severity, s.processo_id IS NOT NULL AS is_scored
+FROM k_state k LEFT JOIN k_meta m ON m.processo_id = k.processo_id LEFT JOIN contracts c ON c.processo_id = k.processo_id
+LEFT JOIN publications p ON p.processo_id = k.processo_id LEFT JOIN k_conformity s ON s.processo_id = k.processo_id""".format(
+        date_sql("c.signing_date"), date_sql("p.publication_date")),
 }
