@@ -1,20 +1,22 @@
-"""The evaluate path as one lineage: compliance → conformity → alerts.
+"""The evaluate path: compliance → conformity → alerts.
 
 Contract and publication are joined once. The fields that scoring and alert
-evidence need travel along, so the later stages add no join and no shuffle.
-Where the stages run as separate jobs over stored tables, `fallback_join` and
-`alert_join` fetch the same fields by key instead.
+evidence need are stored with the compliance rows, so the later stages add no
+join and no shuffle. Where those fields were not carried, `fallback_join` and
+`alert_join` fetch them by key instead.
+
+Each stage is meant to be stored before the next reads it (`stage_store`): a
+filter on a stage's result is then answered from the stored column, not pushed
+down through, and repeated inside, the whole rule computation.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactum.functions.text import filled
-from pactum.operators.alerts import alert_context, classify_alerts
+from pactum.operators.alerts import alert_context
 from pactum.operators.compliance import (
     KEY,
     answers_by_kind,
@@ -30,16 +32,10 @@ CARRIED = [
 ]
 
 
-class Stages(NamedTuple):
-    compliance: DataFrame
-    conformity: DataFrame
-    alerts: DataFrame
-
-
-def evaluate(
+def compliance_stage(
     contracts: DataFrame, publications: DataFrame, raw_texts: DataFrame, answers: DataFrame
-) -> Stages:
-    """All three stage tables over the whole set."""
+) -> DataFrame:
+    """Compliance rows with the fields later stages need."""
     left = contracts.withColumn(
         "_value", F.coalesce(filled(F.col("header.value")), filled(F.col("value"))))
     joined = join_contract_publication(
@@ -55,6 +51,9 @@ def evaluate(
             "fallback_used": F.lit(True),
         }
     )
-    full = compliance_rows(joined, carry=CARRIED)
-    scored = score_conformity(full.withColumn("context", alert_context()), carry=["context"])
-    return Stages(full.drop(*CARRIED), scored.drop("context"), classify_alerts(scored))
+    return compliance_rows(joined, carry=CARRIED)
+
+
+def conformity_stage(compliance: DataFrame) -> DataFrame:
+    """Scored rows, with the evidence context for alerts."""
+    return score_conformity(compliance.withColumn("context", alert_context()), carry=["context"])

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from pactum import constants as K
 from pactum.functions.text import text_or_blank, truthy
-from pactum.operators.compliance import parties_present
 
 KEY = "processo_id"
 CONTRACT_KEYS = [entry[2] for entry in K.CONTRACT_FIELD_MAP]
@@ -52,11 +51,17 @@ def extraction_requests(raw_texts: DataFrame) -> DataFrame:
     return both.select(KEY, F.inline(requests))
 
 
-def party_requests(diagnosed: DataFrame) -> DataFrame:
-    """Party comparisons, only where all names are known and the diagnostic allows it."""
-    asked = diagnosed.where(
-        "has_publication AND diagnostic.agreement_level <> 'DIVERGENT'").where(parties_present())
-    return asked.select(
-        KEY, F.lit("r002").alias("kind"),
-        party_prompt([F.col("c_contratante"), F.col("p_contratante")],
-                     [F.col("c_contratada"), F.col("p_contratada")]).alias("prompt"))
+def party_requests(compliance: DataFrame) -> DataFrame:
+    """Party comparisons, only where all names are known and the diagnostic allows it.
+
+    Reads the stored compliance rows, so the gate filters before any prompt is built.
+    """
+    match = F.col("r002_party_match")
+    hiring = [match["contract_contratante"], match["publication_contratante"]]
+    hired = [match["contract_contratada"], match["publication_contratada"]]
+    known = F.lit(True)
+    for name in hiring + hired:
+        known = known & truthy(name)
+    asked = compliance.where(
+        known & (F.col("extraction_diagnostic.agreement_level") != "DIVERGENT"))
+    return asked.select(KEY, F.lit("r002").alias("kind"), party_prompt(hiring, hired).alias("prompt"))

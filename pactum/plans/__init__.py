@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["evaluate", "discover", "operate", "report"]
+MODULES = ["evaluate", "discover", "operate", "report", "extract"]
 
 
 def load() -> None:

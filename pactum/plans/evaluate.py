@@ -109,8 +109,8 @@ def merge_diagnostics(t):
 
 @query("agreement_level", "SELECT coalesce(level, '') AS agreement_level, count(*) AS n FROM k_merged GROUP BY 1")
 def agreement_level(t):
-    return _diagnosed(t).groupBy(F.col("diagnostic.agreement_level").alias("agreement_level")).agg(
-        F.count("*").alias("n"))
+    level = F.col("extraction_diagnostic.agreement_level")
+    return t.compliance.groupBy(level.alias("agreement_level")).agg(F.count("*").alias("n"))
 
 
 @query("fallback_join", """
@@ -321,7 +321,7 @@ def export_conformity_csv(t):
 SELECT processo_id, final AS overall_status, review_reason, len(bad) AS details, v1 AS r001, v2 AS r002 FROM k_conformity""")
 def alert_join(t):
     c = F.col("context")
-    return A.alert_join(t.conformity, t.compliance).select(
+    return A.alert_join(t.conformity.drop("context"), t.compliance).select(
         KEY, "overall_status", c["review_reason"].alias("review_reason"),
         F.size(c["divergence_detail"]).cast("bigint").alias("details"),
         c["r001"].alias("r001"), c["r002"].alias("r002"))

@@ -6,46 +6,33 @@ from pyspark.sql import functions as F
 
 from pactum import constants as K
 from pactum.functions.dates import parse_dmy
-from pactum.operators import discovery as D
 from pactum.operators import report as P
 from pactum.operators import state as S
 from pactum.operators.rules import primary_violation as first_failure
 from pactum.operators.rules import severity as severity_of
-from pactum.plans.check_sql import joined_list
+from pactum.plans.check_sql import CHECK_VIEWS, joined_list
 from pactum.plans.registry import query
 
 KEY = "processo_id"
 GENERATED = "2026-01-31T12:00:00"
 
 
-def _state(t):
-    return S.state_index(t.links, t.view("artifact_docs"))
-
-
-def _rows(t):
-    """Report rows for every discovered process; the plan is built once per session."""
-    if "report_rows" not in t.__dict__:
-        t.__dict__["report_rows"] = P.report_rows(
-            _state(t), t.conformity, D.discovery_metadata(t.links), t.publications, t.contracts)
-    return t.__dict__["report_rows"]
-
-
 _HAS = [f"has_{a}" for a in K.ARTIFACTS]
 
 
 @query("state_index_join", f"SELECT pid_safe, processo_id, pipeline_stage, {', '.join(_HAS)}, error_flag, n_links FROM k_state")
 def state_index_join(t):
-    return _state(t)
+    return t.state
 
 
 @query("pipeline_stage", "SELECT processo_id, pipeline_stage FROM k_state")
 def pipeline_stage(t):
-    return _state(t).select(KEY, "pipeline_stage")
+    return t.state.select(KEY, "pipeline_stage")
 
 
 @query("error_flag", "SELECT processo_id, error_flag FROM k_state")
 def error_flag(t):
-    return _state(t).select(KEY, "error_flag")
+    return t.state.select(KEY, "error_flag")
 
 
 _STAGE_ROWS = ", ".join(f"('{s}')" for s in K.STAGES)
@@ -55,7 +42,7 @@ _STAGE_ROWS = ", ".join(f"('{s}')" for s in K.STAGES)
 SELECT s.stage AS pipeline_stage, CAST(coalesce(sum(k.n_links), 0) AS BIGINT) AS links, count(k.processo_id) AS pids
 FROM (VALUES {_STAGE_ROWS}) s(stage) LEFT JOIN k_state k ON k.pipeline_stage = s.stage GROUP BY s.stage""")
 def stage_counts(t):
-    return S.stage_counts(_state(t))
+    return S.stage_counts(t.state)
 
 
 _PHASE = "CASE pipeline_stage " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.MISSING_PHASE.items()) + " ELSE '' END"
@@ -64,7 +51,7 @@ _PHASE = "CASE pipeline_stage " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in
 @query("incomplete_contracts", f"""
 SELECT processo_id, pipeline_stage, {_PHASE} AS fase_faltante FROM k_state WHERE pipeline_stage NOT IN ('SCORED', 'COMPLIANCE')""")
 def incomplete_contracts(t):
-    return S.incomplete(_state(t))
+    return S.incomplete(t.state)
 
 
 @query("processo_detail", f"""
@@ -81,7 +68,7 @@ _BASE = f"""processo_id, pipeline_stage, company_name, contract_value, contract_
 
 @query("report_join", f"SELECT {_BASE} FROM k_report")
 def report_join(t):
-    return _rows(t).select(
+    return t.report_rows.select(
         KEY, "pipeline_stage", "company_name", "contract_value", "contract_date", "publication_date",
         F.col("days_to_publish").cast("bigint").alias("days_to_publish"), "overall_status",
         "conformity_score", "agreement_level", *[f"{r}_verdict" for r in K.RULES],
@@ -94,7 +81,7 @@ def days_to_publish(t):
     pubs = t.publications.select(KEY, "publication_date")
     contracts = t.contracts.select(KEY, F.col("header.signing_date").alias("signed"))
     days = F.datediff(parse_dmy(F.col("publication_date")), parse_dmy(F.col("signed"))).cast("bigint")
-    return _state(t).select(KEY).join(pubs, KEY, "left").join(contracts, KEY, "left").select(
+    return t.state.select(KEY).join(pubs, KEY, "left").join(contracts, KEY, "left").select(
         KEY, days.alias("days_to_publish"))
 
 
@@ -123,38 +110,38 @@ _MEANS = ", ".join(f"CAST(avg(s{i}) FILTER (is_scored) AS DOUBLE) AS \"R00{i}\""
 
 @query("coverage_report", f"SELECT {_COVERAGE} FROM k_report")
 def coverage_report(t):
-    return P.aggregate_report(_rows(t)).select(
+    return P.aggregate_report(t.report_rows).select(
         "total_discovered", "total_extracted", "total_pub_found", "total_preprocessed",
         "total_analyzed", "coverage_rate")
 
 
 @query("conformity_rates", f"SELECT {_RATES} FROM k_report")
 def conformity_rates(t):
-    return P.aggregate_report(_rows(t)).select(
+    return P.aggregate_report(t.report_rows).select(
         *K.STATUSES, "overall_conformity_rate", "average_score")
 
 
 @query("rule_averages", f"SELECT {_MEANS} FROM k_report")
 def rule_averages(t):
-    return P.aggregate_report(_rows(t)).select(*K.RULES)
+    return P.aggregate_report(t.report_rows).select(*K.RULES)
 
 
 @query("aggregate_report", f"SELECT {_COVERAGE}, {_RATES}, {_MEANS} FROM k_report")
 def aggregate_report(t):
-    return P.aggregate_report(_rows(t))
+    return P.aggregate_report(t.report_rows)
 
 
 @query("top_flags", """
 SELECT flag, count(*) AS n FROM (SELECT unnest(flags) AS flag FROM k_report) x GROUP BY flag ORDER BY n DESC, flag LIMIT 10""")
 def top_flags(t):
-    return P.top_flags(_rows(t))
+    return P.top_flags(t.report_rows)
 
 
 _WANTED = "overall_status IN ('PARCIAL', 'NÃO CONFORME') AND conformity_score BETWEEN 20 AND 80 AND contains(lower(company_name), '7')"
 
 
 def _filtered(t):
-    return P.analytics_filter(_rows(t), ["PARCIAL", "NÃO CONFORME"], "7", 20, 80)
+    return P.analytics_filter(t.report_rows, ["PARCIAL", "NÃO CONFORME"], "7", 20, 80)
 
 
 @query("analytics_filter", f"SELECT processo_id, overall_status, conformity_score FROM k_report WHERE {_WANTED}")
@@ -164,7 +151,7 @@ def analytics_filter(t):
 
 @query("analytics_view", "SELECT processo_id, company_name, contract_value, overall_status, conformity_score, pipeline_stage FROM k_report")
 def analytics_view(t):
-    return P.analytics_view(_rows(t))
+    return P.analytics_view(t.report_rows)
 
 
 _EXPORT = f"""processo_id, agreement_level, R001_verdict AS "R001", R002_verdict AS "R002", R003_verdict AS "R003", R004_verdict AS "R004",
@@ -175,7 +162,7 @@ _EXPORT = f"""processo_id, agreement_level, R001_verdict AS "R001", R002_verdict
 
 @query("export_report_csv", f"SELECT {_EXPORT} FROM k_report")
 def export_report_csv(t):
-    return P.report_export(_rows(t), GENERATED)
+    return P.report_export(t.report_rows, GENERATED)
 
 
 @query("export_filtered", f"SELECT {_EXPORT} FROM k_report WHERE {_WANTED}")
@@ -191,56 +178,58 @@ _DETAIL = ", ".join(f'{e} AS "{n}"' for e, n in zip(
 
 @query("report_sheet_detail", f"SELECT {_DETAIL} FROM k_report")
 def report_sheet_detail(t):
-    return P.detail_sheet(_rows(t))
+    return P.detail_sheet(t.report_rows)
 
 
 @query("report_sheet_non_conforming", f"""
 SELECT {_DETAIL} FROM (SELECT r.*, a.alert_level FROM k_report r LEFT JOIN k_alerts a ON a.processo_id = r.processo_id) x
 WHERE overall_status IN ('NÃO CONFORME', 'PARCIAL') OR alert_level = 'FAILED'""")
 def report_sheet_non_conforming(t):
-    return P.detail_sheet(P.non_conforming(_rows(t), t.alerts))
+    return P.detail_sheet(P.non_conforming(t.report_rows, t.alerts))
 
 
 @query("non_conforming", """
 SELECT r.processo_id, r.overall_status FROM k_report r LEFT JOIN k_alerts a ON a.processo_id = r.processo_id
 WHERE r.overall_status IN ('NÃO CONFORME', 'PARCIAL') OR a.alert_level = 'FAILED'""")
 def non_conforming(t):
-    return P.non_conforming(_rows(t), t.alerts).select(KEY, "overall_status")
+    return P.non_conforming(t.report_rows, t.alerts).select(KEY, "overall_status")
 
 
 @query("report_sheet_incomplete", f"""
 SELECT processo_id AS "Processo ID", company_name AS "Empresa", pipeline_stage AS "Etapa Pipeline", {_PHASE} AS "Fase Faltante"
 FROM k_report WHERE pipeline_stage NOT IN ('SCORED', 'COMPLIANCE')""")
 def report_sheet_incomplete(t):
-    return P.incomplete_sheet(_rows(t))
+    return P.incomplete_sheet(t.report_rows)
 
 
 @query("report_sheet_errors", """
 SELECT processo_id AS "Processo ID", company_name AS "Empresa", pipeline_stage AS "Etapa Pipeline", error_flag AS "Flag de Erro" FROM k_report WHERE error_flag""")
 def report_sheet_errors(t):
-    return P.error_sheet(_rows(t))
+    return P.error_sheet(t.report_rows)
 
 
 @query("error_rows", "SELECT processo_id, pipeline_stage FROM k_state WHERE error_flag")
 def error_rows(t):
-    return _state(t).where("error_flag").select(KEY, "pipeline_stage")
+    return t.state.where("error_flag").select(KEY, "pipeline_stage")
+
+
+CHECK_VIEWS["k_aggregate"] = f"SELECT {_COVERAGE}, {_RATES}, {_MEANS} FROM k_report"
 
 
 @query("report_sheet_metrics", f"""
-WITH a AS (SELECT {_COVERAGE}, {_RATES}, {_MEANS} FROM k_report)
 SELECT 'Relatório gerado em' AS metrica, '{GENERATED}' AS valor UNION ALL SELECT 'Analista', 'Sistema' UNION ALL SELECT 'Versão', '1.0.0'
-UNION ALL SELECT 'Contratos Descobertos', CAST(total_discovered AS VARCHAR) FROM a UNION ALL SELECT 'Contratos Extraídos', CAST(total_extracted AS VARCHAR) FROM a
-UNION ALL SELECT 'Publicações Encontradas', CAST(total_pub_found AS VARCHAR) FROM a UNION ALL SELECT 'Contratos Analisados', CAST(total_analyzed AS VARCHAR) FROM a
-UNION ALL SELECT 'Taxa de Cobertura', printf('%.1f%%', coverage_rate * 100) FROM a UNION ALL SELECT 'Taxa de Conformidade', printf('%.1f%%', overall_conformity_rate * 100) FROM a
-UNION ALL SELECT 'Score Médio', printf('%.1f', average_score) FROM a
-{' '.join(f"UNION ALL SELECT '{s}', CAST({chr(34)}{s}{chr(34)} AS VARCHAR) FROM a" for s in K.STATUSES)}
-{' '.join(f"UNION ALL SELECT 'Média {r}', printf('%.1f', {chr(34)}{r}{chr(34)}) FROM a" for r in K.RULES)}""")
+UNION ALL SELECT 'Contratos Descobertos', CAST(total_discovered AS VARCHAR) FROM k_aggregate UNION ALL SELECT 'Contratos Extraídos', CAST(total_extracted AS VARCHAR) FROM k_aggregate
+UNION ALL SELECT 'Publicações Encontradas', CAST(total_pub_found AS VARCHAR) FROM k_aggregate UNION ALL SELECT 'Contratos Analisados', CAST(total_analyzed AS VARCHAR) FROM k_aggregate
+UNION ALL SELECT 'Taxa de Cobertura', printf('%.1f%%', coverage_rate * 100) FROM k_aggregate UNION ALL SELECT 'Taxa de Conformidade', printf('%.1f%%', overall_conformity_rate * 100) FROM k_aggregate
+UNION ALL SELECT 'Score Médio', printf('%.1f', average_score) FROM k_aggregate
+{' '.join(f"UNION ALL SELECT '{s}', CAST({chr(34)}{s}{chr(34)} AS VARCHAR) FROM k_aggregate" for s in K.STATUSES)}
+{' '.join(f"UNION ALL SELECT 'Média {r}', printf('%.1f', {chr(34)}{r}{chr(34)}) FROM k_aggregate" for r in K.RULES)}""")
 def report_sheet_metrics(t):
-    return P.metrics_sheet(P.aggregate_report(_rows(t)), GENERATED)
+    return P.metrics_sheet(P.aggregate_report(t.report_rows), GENERATED)
 
 
 @query("report_sheet_metadata", f"""
 SELECT 'Sistema' AS parametro, 'pactum' AS valor UNION ALL SELECT 'Analista', 'Sistema' UNION ALL SELECT 'Data de Geração', '{GENERATED}'
 UNION ALL SELECT 'Total de Contratos', CAST(count(*) AS VARCHAR) FROM k_report UNION ALL SELECT 'Contratos Analisados', CAST(count(*) FILTER (is_scored) AS VARCHAR) FROM k_report""")
 def report_sheet_metadata(t):
-    return P.metadata_sheet(P.aggregate_report(_rows(t)), GENERATED)
+    return P.metadata_sheet(P.aggregate_report(t.report_rows), GENERATED)

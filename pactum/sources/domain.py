@@ -7,8 +7,15 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.operators.evaluate import evaluate
+from pactum.operators.alerts import classify_alerts
+from pactum.operators.contract_text import preprocess_contracts
+from pactum.operators.discovery import discovery_metadata
+from pactum.operators.evaluate import compliance_stage, conformity_stage
+from pactum.operators.gazette_text import parsed_documents
+from pactum.operators.report import report_rows
+from pactum.operators.state import state_index
 from pactum.sources import adapter
+from pactum.sources.stage_store import store
 
 KEY = "processo_id"
 
@@ -60,20 +67,42 @@ class Tables:
         return self.view("answer_rows")
 
     @cached_property
-    def stages(self):
-        return evaluate(self.contracts, self.publications, self.raw_texts, self.answers)
-
-    @property
     def compliance(self) -> DataFrame:
-        return self.stages.compliance
+        """Stored compliance stage."""
+        return store(
+            compliance_stage(self.contracts, self.publications, self.raw_texts, self.answers),
+            "compliance")
 
-    @property
+    @cached_property
     def conformity(self) -> DataFrame:
-        return self.stages.conformity
+        """Stored conformity stage."""
+        return store(conformity_stage(self.compliance), "conformity")
 
-    @property
+    @cached_property
     def alerts(self) -> DataFrame:
-        return self.stages.alerts
+        return classify_alerts(self.conformity)
+
+    @cached_property
+    def parsed_documents(self) -> DataFrame:
+        """Stored gazette documents with their parsed fields, without texts."""
+        return store(parsed_documents(self.gazette_docs), "parsed_documents")
+
+    @cached_property
+    def preprocessed(self) -> DataFrame:
+        """Stored contract texts as structured rows."""
+        return store(preprocess_contracts(self.contract_docs), "contract_preprocessed")
+
+    @cached_property
+    def state(self) -> DataFrame:
+        return state_index(self.links, self.view("artifact_docs"))
+
+    @cached_property
+    def report_rows(self) -> DataFrame:
+        """Stored report rows, one per discovered process."""
+        rows = report_rows(
+            self.state, self.conformity, discovery_metadata(self.links), self.publications,
+            self.contracts)
+        return store(rows, "report_rows")
 
     @cached_property
     def gazette_docs(self) -> DataFrame:
