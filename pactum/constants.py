@@ -124,6 +124,9 @@ MONTHS_PT = {
 # White space of a Unicode-aware text strip/split, usable in Java and RE2 alike.
 WS = (r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+WS_CHARS = "".join(
+    chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+                     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 PRINTABLE_COMPLEMENT = r"[\p{C}\p{Z}&&[^ \n\r\t]]"
 
 # -- identifiers --------------------------------------------------------------------

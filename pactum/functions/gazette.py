@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pactum import constants as K
-from pactum.functions.text import grab, has, jre, literal_pattern, match_start, text_or_blank
+from pactum.functions.text import grab, has, inline, jre, literal_pattern, text_or_blank
 
 
 def classify_content(snippet: Column, pid: Column) -> Column:
@@ -33,8 +33,8 @@ def publication_metadata(text: Column) -> Column:
 
 def edition_number(text: Column) -> Column:
     """Edition near the first masthead; without a masthead there is none."""
-    start = match_start(text, K.MASTHEAD_DATE, "i")
-    zone = F.substring(text, start + 1, F.lit(K.EDITION_ZONE_CHARS))
+    ahead = rf"(?s)((?={inline(K.MASTHEAD_DATE, 'i')}).{{0,{K.EDITION_ZONE_CHARS}}})"
+    zone = F.regexp_extract(text, ahead, 1)
     return F.coalesce(grab(zone, K.EDITION, 1), grab(zone, K.EDITION, 2))
 
 

@@ -57,7 +57,7 @@ def id_variations(pid: Column) -> Column:
 
 def normalise_pid(pid: Column) -> Column:
     """Cut a trailing ``.- CO 01/2024`` style suffix and loose punctuation."""
-    core = F.regexp_replace(strip(drop(strip(pid), K.PID_SUFFIX, "i")), r"[.\-]+\z", "")
+    core = F.rtrim(strip(drop(strip(pid), K.PID_SUFFIX, "i")), F.lit(".-"))
     return F.when(truthy(core), core).otherwise(strip(pid))
 
 

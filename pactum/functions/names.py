@@ -17,7 +17,7 @@ def normalise_name(c: Column) -> Column:
 def clean_party(c: Column) -> Column:
     """A party name without line breaks, trailing punctuation and legal tails."""
     name = F.regexp_replace(strip(c), rf"[{K.WS}]*\n[{K.WS}]*", " ")
-    name = F.regexp_replace(strip(name), r"[.,;:\-]+\z", "")
+    name = F.rtrim(strip(name), F.lit(".,;:-"))
     for tail in K.PARTY_TAILS:
         name = drop(name, tail, "i")
     return strip(name)
@@ -28,7 +28,7 @@ def split_parties(c: Column) -> Column:
     first, second = grab(c, K.PARTY_SPLIT, 1, "is"), grab(c, K.PARTY_SPLIT, 2, "is")
 
     def tidy(x: Column) -> Column:
-        return F.regexp_replace(squeeze(x), r"[.,;]+\z", "")
+        return F.rtrim(squeeze(x), F.lit(".,;"))
 
     return F.struct(
         F.when(first.isNotNull(), tidy(first)).otherwise(strip(c)).alias("contratante"),

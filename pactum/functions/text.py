@@ -36,7 +36,7 @@ def drop(c: Column, pattern: str, flags: str = "") -> Column:
 
 def strip(c: Column) -> Column:
     """Remove Unicode white space at both ends."""
-    return F.regexp_replace(c, rf"\A[{K.WS}]+|[{K.WS}]+\z", "")
+    return F.btrim(c, F.lit(K.WS_CHARS))
 
 
 def squeeze(c: Column) -> Column:
@@ -79,7 +79,7 @@ def quoted_list(values: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    return F.regexp_replace(squeeze(c), r"\A[.\-_]+|[.\-_]+\z", "")
+    return F.btrim(squeeze(c), F.lit(".-_"))
 
 
 def word_count(c: Column) -> Column:

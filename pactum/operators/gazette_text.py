@@ -63,7 +63,8 @@ def anchored_start(text: Column, pid: Column) -> Column:
 def with_block(df: DataFrame, text: str, pid: str) -> DataFrame:
     """Add ``_block``: the extract that belongs to the identifier."""
     t = F.col(text)
-    df = df.withColumn("_hit", anchored_start(t, normalise_pid(F.col(pid))))
+    df = df.withColumn("_core", normalise_pid(F.col(pid)))
+    df = df.withColumn("_hit", anchored_start(t, F.col("_core")))
     trigger = F.when(F.col("_hit") < 0, match_start(t, K.BLOCK_TRIGGER, "i"))
     df = df.withColumn("_trigger", trigger)
     block = (
@@ -75,7 +76,7 @@ def with_block(df: DataFrame, text: str, pid: str) -> DataFrame:
             window(t, F.col("_trigger"), K.TRIGGER_BACK_CHARS, K.TRIGGER_FORWARD_CHARS))
         .otherwise(t)
     )
-    return df.withColumn("_block", block).drop("_hit", "_trigger")
+    return df.withColumn("_block", block).drop("_core", "_hit", "_trigger")
 
 
 def block_type(block: Column) -> Column:

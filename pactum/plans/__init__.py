@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["evaluate", "discover", "operate", "report", "extract"]
+MODULES = ["evaluate", "discover", "operate", "report", "extract", "watch"]
 
 
 def load() -> None:

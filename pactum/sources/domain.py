@@ -104,13 +104,23 @@ class Tables:
             self.contracts)
         return store(rows, "report_rows")
 
+    def spread(self, df: DataFrame, source: str, *keys: str) -> DataFrame:
+        """Spread rows for costly text work, only where the source has too few splits.
+
+        A table of many files already feeds every core, and is left where it is.
+        """
+        splits = self.view(source).rdd.getNumPartitions()
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, *keys) if splits < cores else df
+
     @cached_property
     def gazette_docs(self) -> DataFrame:
-        return self.view("gazette_docs")
+        return self.spread(self.view("gazette_docs"), "lineitem", KEY, "document_index")
 
     @cached_property
     def contract_docs(self) -> DataFrame:
-        return self.view("contract_docs").select(KEY, "raw_text")
+        docs = self.view("contract_docs").select(KEY, "raw_text")
+        return self.spread(docs, "orders", KEY)
 
     @cached_property
     def run_log(self) -> DataFrame:
