@@ -53,43 +53,46 @@ def selector_drift(probes: DataFrame, chunk: str = "hour") -> DataFrame:
     rows = probes.select(
         "portal", "ts", "seq", F.date_trunc(chunk, "ts").alias("chunk"),
         F.to_json(F.map_from_entries(F.array_sort(F.map_entries("selectors")))).alias("probe"))
-    # Only changes of state matter inside a chunk, so each chunk maps a baseline
-    # to the baseline after it; baselines are the portal's distinct probes.
     states = rows.select("portal", "probe").distinct()
     chunks = rows.select("portal", "chunk").distinct()
-    starts = chunks.join(states, "portal")
+    befores = chunks.join(states, "portal").select(
+        "portal", "chunk", F.lit(None).cast("timestamp").alias("ts"),
+        F.lit(None).cast("bigint").alias("seq"), "probe")
 
-    def ends(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        walk = left.sort_values(["ts", "seq"])["probe"].tolist()
-        befores = [None, *right["probe"].tolist()]
+    def ends(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        walk = pdf[pdf["seq"].notna()].sort_values(["ts", "seq"])["probe"].tolist()
+        known = [None, *pdf[pdf["seq"].isna()]["probe"].tolist()]
         return pd.DataFrame({
-            "portal": key[0], "chunk": key[1], "before": befores,
-            "after": [follow(b, walk)[0] for b in befores]})
+            "portal": key[0], "chunk": key[1], "before": known,
+            "after": [follow(b, walk)[0] for b in known]})
 
-    moves = rows.groupBy("portal", "chunk").cogroup(starts.groupBy("portal", "chunk")).applyInPandas(
+    moves = rows.select(*befores.columns).unionByName(befores).groupBy(
+        "portal", "chunk").applyInPandas(
         ends, "portal string, chunk timestamp, before string, after string")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         current, out = None, []
-        for when, group in pdf.sort_values("chunk").groupby("chunk", sort=True):
+        for when, group in pdf.groupby("chunk", sort=True):
             out.append((pdf["portal"].iloc[0], when, current))
             table = {None if pd.isna(b) else b: a for b, a in zip(group["before"], group["after"])}
             current = table[current]
-        return pd.DataFrame(out, columns=["portal", "chunk", "start"])
+        return pd.DataFrame(out, columns=["portal", "chunk", "probe"])
 
-    begun = moves.groupBy("portal").applyInPandas(
-        chain, "portal string, chunk timestamp, start string")
+    starts = moves.groupBy("portal").applyInPandas(
+        chain, "portal string, chunk timestamp, probe string").select(
+        "portal", "chunk", F.lit(None).cast("timestamp").alias("ts"),
+        F.lit(None).cast("bigint").alias("seq"), "probe")
 
-    def mark(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values(["ts", "seq"])
-        start = right["start"].iloc[0]
-        _, changes = follow(None if pd.isna(start) else start, left["probe"].tolist())
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        start = pdf[pdf["seq"].isna()]["probe"].iloc[0]
+        walk = pdf[pdf["seq"].notna()].sort_values(["ts", "seq"])
+        _, changes = follow(None if pd.isna(start) else start, walk["probe"].tolist())
         return pd.DataFrame({
-            "portal": left["portal"], "ts": left["ts"], "seq": left["seq"],
+            "portal": walk["portal"], "ts": walk["ts"], "seq": walk["seq"].astype("int64"),
             "drifted": [bool(c) for c in changes], "changed": ["|".join(c) for c in changes]})
 
-    return rows.groupBy("portal", "chunk").cogroup(begun.groupBy("portal", "chunk")).applyInPandas(
-        mark, RESULT)
+    return rows.select(*starts.columns).unionByName(starts).groupBy(
+        "portal", "chunk").applyInPandas(mark, RESULT)
 
 
 class DriftProcessor(StatefulProcessor):

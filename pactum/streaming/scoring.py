@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pactum.functions.dates import parse_dmy
 from pactum.operators.alerts import classify_alerts
 from pactum.operators.evaluate import compliance_stage, conformity_stage
+from pactum.operators.ranking import pick_last
 
 KEY = "processo_id"
 
@@ -32,9 +34,10 @@ def start_scoring(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.groupBy(KEY).agg(
-            F.max_by(F.struct(*[c for c in batch.columns if c != KEY]), F.col("publication_date"))
-            .alias("_p")).select(KEY, "_p.*")
+        # A struct is never null itself, so undated publications are ranked too.
+        newest = F.struct(
+            parse_dmy(F.col("publication_date")), "publication_date", "contract_number", "value")
+        latest = pick_last(batch, [KEY], newest)
         scored = score_batch(latest, contracts, raw_texts, answers)
         scored.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
