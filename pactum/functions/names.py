@@ -11,7 +11,7 @@ from pactum.functions.text import drop, grab, squeeze, strip
 
 def normalise_name(c: Column) -> Column:
     """Upper-case text with punctuation as blanks, for loose comparison."""
-    return F.upper(squeeze(F.regexp_replace(c, r"[.,;:\-/\\]", " ")))
+    return F.upper(squeeze(F.translate(c, ".,;:-/\\", " " * 7)))
 
 
 def clean_party(c: Column) -> Column:

@@ -41,7 +41,7 @@ def strip(c: Column) -> Column:
 
 def squeeze(c: Column) -> Column:
     """Collapse runs of white space to one blank and strip."""
-    return strip(F.regexp_replace(c, rf"[{K.WS}]+", " "))
+    return F.trim(F.regexp_replace(F.translate(c, K.WS_CHARS, " " * len(K.WS_CHARS)), " {2,}", " "))
 
 
 def truthy(c: Column) -> Column:

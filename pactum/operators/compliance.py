@@ -10,6 +10,7 @@ from pactum.functions.dates import parse_dmy
 from pactum.functions.text import truthy
 from pactum.operators.diagnostic import (
     answer_warning,
+    answered,
     compared,
     field_checks,
     merge_diagnostics,
@@ -156,9 +157,15 @@ def add_diagnostics(df: DataFrame) -> DataFrame:
     )
     df = df.withColumns(
         {
-            "_c_checks": field_checks(F.col("_contract"), CONTRACT_SIDE, K.CONTRACT_FIELD_MAP),
+            "_c_given": answered(F.col("_contract"), K.CONTRACT_FIELD_MAP),
+            "_p_given": answered(F.col("_publication"), K.PUBLICATION_FIELD_MAP),
+        }
+    )
+    df = df.withColumns(
+        {
+            "_c_checks": field_checks(F.col("_c_given"), CONTRACT_SIDE, K.CONTRACT_FIELD_MAP),
             "_p_checks": field_checks(
-                F.col("_publication"), PUBLICATION_SIDE, K.PUBLICATION_FIELD_MAP),
+                F.col("_p_given"), PUBLICATION_SIDE, K.PUBLICATION_FIELD_MAP),
         }
     )
     df = df.withColumns(

@@ -9,7 +9,6 @@ from pactum import constants as K
 from pactum.functions.dates import parse_dmy
 from pactum.functions.names import normalise_name
 from pactum.functions.text import quoted, truthy
-from pactum.operators.rules import json_text
 
 DETAIL = "map<string,string>"
 
@@ -19,7 +18,7 @@ def values_match(left: Column, right: Column, kind: str) -> Column:
     if kind == "date":
         same = parse_dmy(left).eqNullSafe(parse_dmy(right))
     else:
-        same = normalise_name(left) == normalise_name(right)
+        same = (left == right) | (normalise_name(left) == normalise_name(right))
     return (
         F.when(left.isNull() & right.isNull(), True)
         .when(left.isNull() | right.isNull(), False)
@@ -40,13 +39,18 @@ def agreement_level(checks: Column) -> Column:
     )
 
 
-def field_checks(answer: Column, deterministic: dict[str, str], field_map: list) -> Column:
+def answered(answer: Column, field_map: list) -> Column:
+    """The answer's fields as texts; null where absent or null."""
+    return F.struct(
+        *[F.try_variant_get(answer, f"$.{key}", "string").alias(field)
+          for field, _, key, _, _ in field_map])
+
+
+def field_checks(given: Column, deterministic: dict[str, str], field_map: list) -> Column:
     """One (field, det, llm, match, critical) check per entry of the field map."""
 
-    def check(field: str, det_key: str, answer_key: str, kind: str, critical: bool) -> Column:
-        left = F.col(deterministic[det_key])
-        node = F.try_variant_get(answer, f"$.{answer_key}", "variant")
-        right = F.when(~F.is_variant_null(node), json_text(node, ""))
+    def check(field: str, det_key: str, _: str, kind: str, critical: bool) -> Column:
+        left, right = F.col(deterministic[det_key]), given[field]
         return F.struct(
             F.lit(field).alias("field"),
             left.alias("det"),

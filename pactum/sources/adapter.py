@@ -370,6 +370,19 @@ def _registered(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return _VIEWS.setdefault((id(spark), sf_dir), {})
 
 
+def spread_small(df: DataFrame, source: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a share of ``df`` when its source is too small to be split.
+
+    A source of at least one full split per core already does, and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, *keys) if size < cores * 128 * 1024 * 1024 else df
+
+
+SPREAD = {"orders", "lineitem", "events", "documents"}
+
+
 def _view(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Register one base or derived table as a lazy view, after all it reads."""
     made = _registered(spark, sf_dir)
@@ -385,6 +398,7 @@ def _view(spark: SparkSession, sf_dir: str, name: str) -> str:
         df = spark.sql(re.sub(r"\b(FROM|JOIN)\s+([a-z][a-z_0-9]*)\b", inner, SQL[name]))
     else:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        df = spread_small(df, df) if name in SPREAD else df
     df.createOrReplaceTempView(alias)
     made[name] = alias
     return alias

@@ -14,6 +14,7 @@ from pactum.operators.evaluate import compliance_stage, conformity_stage
 from pactum.operators.gazette_text import parsed_documents
 from pactum.operators.report import report_rows
 from pactum.operators.state import state_index
+from pactum.session import tune
 from pactum.sources import adapter
 from pactum.sources.stage_store import store
 
@@ -24,7 +25,7 @@ class Tables:
     """Lazy access to the audit tables of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tune(spark), sf_dir
 
     def view(self, name: str) -> DataFrame:
         return adapter.table(self.spark, self.sf_dir, name)
@@ -104,23 +105,14 @@ class Tables:
             self.contracts)
         return store(rows, "report_rows")
 
-    def spread(self, df: DataFrame, source: str, *keys: str) -> DataFrame:
-        """Spread rows for costly text work, only where the source has too few splits.
-
-        A table of many files already feeds every core, and is left where it is.
-        """
-        splits = self.view(source).rdd.getNumPartitions()
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, *keys) if splits < cores else df
-
     @cached_property
     def gazette_docs(self) -> DataFrame:
-        return self.spread(self.view("gazette_docs"), "lineitem", KEY, "document_index")
+        return adapter.spread_small(
+            self.view("gazette_docs"), self.view("lineitem"), KEY, "document_index")
 
     @cached_property
     def contract_docs(self) -> DataFrame:
-        docs = self.view("contract_docs").select(KEY, "raw_text")
-        return self.spread(docs, "orders", KEY)
+        return self.view("contract_docs").select(KEY, "raw_text")
 
     @cached_property
     def run_log(self) -> DataFrame:

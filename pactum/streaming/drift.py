@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,6 +30,17 @@ def changed_selectors(baseline: dict, probe: dict) -> list[str]:
             if baseline.get(name) is not None and bool(state) != bool(baseline[name])]
 
 
+@lru_cache(maxsize=4096)
+def changed_between(baseline: str, probe: str) -> list[str]:
+    """`changed_selectors` of two JSON texts; few distinct pairs ever occur."""
+    return changed_selectors(json.loads(baseline), json.loads(probe))
+
+
+def runs(probes: list[str]) -> list[str]:
+    """Probes without repeats of the one before, which can never drift."""
+    return [p for i, p in enumerate(probes) if i == 0 or p != probes[i - 1]]
+
+
 def follow(baseline: str | None, probes) -> tuple[str, list[list[str]]]:
     """Walk probes (JSON texts) from a baseline; the last baseline and the changes."""
     changes = []
@@ -38,7 +50,7 @@ def follow(baseline: str | None, probes) -> tuple[str, list[list[str]]]:
         elif baseline == probe:
             changed = []
         else:
-            changed = changed_selectors(json.loads(baseline), json.loads(probe))
+            changed = changed_between(baseline, probe)
             baseline = probe if changed else baseline
         changes.append(changed)
     return baseline, changes
@@ -60,7 +72,7 @@ def selector_drift(probes: DataFrame, chunk: str = "hour") -> DataFrame:
         F.lit(None).cast("bigint").alias("seq"), "probe")
 
     def ends(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        walk = pdf[pdf["seq"].notna()].sort_values(["ts", "seq"])["probe"].tolist()
+        walk = runs(pdf[pdf["seq"].notna()].sort_values(["ts", "seq"])["probe"].tolist())
         known = [None, *pdf[pdf["seq"].isna()]["probe"].tolist()]
         return pd.DataFrame({
             "portal": key[0], "chunk": key[1], "before": known,
