@@ -72,7 +72,7 @@ def with_quality(df: DataFrame, text: str) -> DataFrame:
     """Add total_chars, printable_ratio, quality_passes and quality_flags of a text."""
     t = F.col(text)
     df = df.withColumns(
-        {"total_chars": F.length(strip(t)), "_ratio": printable_chars(t) / F.length(t)})
+        {"total_chars": F.length(strip(t)), "_ratio": F.try_divide(printable_chars(t), F.length(t))})
     ratio = F.when(F.col("total_chars") > 0, F.col("_ratio")).otherwise(0.0)
     df = df.withColumn("quality_flags", quality_flags(F.col("total_chars"), ratio))
     return df.withColumns(
@@ -225,7 +225,7 @@ def merged_measures(parts: DataFrame) -> DataFrame:
     foot = last["tail"] + F.when(several & (last["tail"] == last["len"]), 2).otherwise(0)
     single_blank = ~several & (first["lead"] == first["len"])
     total = F.when(single_blank, 0).otherwise(F.col("_chars") + glue - head - foot)
-    ratio = F.when(total > 0, (F.col("_print") + glue) / (F.col("_chars") + glue)).otherwise(0.0)
+    ratio = F.when(total > 0, F.try_divide(F.col("_print") + glue, F.col("_chars") + glue)).otherwise(0.0)
     return merged.withColumns({"total_chars": total, "_ratio": ratio}).select(
         KEY, "page_count", "pdf_size_bytes", "total_chars",
         F.round("_ratio", 3).alias("printable_ratio"),
