@@ -233,3 +233,28 @@ SELECT 'Sistema' AS parametro, 'pactum' AS valor UNION ALL SELECT 'Analista', 'S
 UNION ALL SELECT 'Total de Contratos', CAST(count(*) AS VARCHAR) FROM k_report UNION ALL SELECT 'Contratos Analisados', CAST(count(*) FILTER (is_scored) AS VARCHAR) FROM k_report""")
 def report_sheet_metadata(t):
     return P.metadata_sheet(P.aggregate_report(t.report_rows), GENERATED)
+
+
+@query("report_sheets", """
+SELECT 'metrics' AS sheet, 18 AS n UNION ALL SELECT 'detail', count(*) FROM k_report
+UNION ALL SELECT 'non_conforming', count(*) FROM k_report r LEFT JOIN k_alerts a ON a.processo_id = r.processo_id
+  WHERE r.overall_status IN ('NÃO CONFORME', 'PARCIAL') OR a.alert_level = 'FAILED'
+UNION ALL SELECT 'incomplete', count(*) FROM k_report WHERE pipeline_stage NOT IN ('SCORED', 'COMPLIANCE')
+UNION ALL SELECT 'errors', count(*) FROM k_report WHERE error_flag UNION ALL SELECT 'metadata', 5""")
+def report_sheets(t):
+    """Rows per sheet of one report; each sheet is a DataFrame of its own."""
+    rows = t.report_rows
+    aggregate = P.aggregate_report(rows)
+    sheets = {
+        "metrics": P.metrics_sheet(aggregate, GENERATED),
+        "detail": P.detail_sheet(rows),
+        "non_conforming": P.detail_sheet(P.non_conforming(rows, t.alerts)),
+        "incomplete": P.incomplete_sheet(rows),
+        "errors": P.error_sheet(rows),
+        "metadata": P.metadata_sheet(aggregate, GENERATED),
+    }
+    counts = None
+    for name, sheet in sheets.items():
+        one = sheet.agg(F.count("*").alias("n")).select(F.lit(name).alias("sheet"), "n")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts

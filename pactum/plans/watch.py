@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from pactum.operators.alerts import alerts_summary
 from pactum.operators.runs import new_failures
 from pactum.plans.registry import query
-from pactum.sources.stage_store import read_stage, write_stage
 from pactum.session import checkpoint_dir
+from pactum.sources.stage_store import append_rows, read_stage, write_stage
 from pactum.streaming.drift import selector_drift
 from pactum.streaming.failures import failure_rate
 from pactum.streaming.scoring import score_batch
@@ -15,6 +18,10 @@ from pactum.streaming.scoring import score_batch
 KEY = "processo_id"
 
 
+def _fresh_folder(t) -> str:
+    return f"{checkpoint_dir(t.spark)}/pactum/{uuid.uuid4().hex}"
+
+
 @query("incremental_scoring", """
 SELECT a.processo_id, a.alert_level, a.reason, CAST(a.score AS DOUBLE) AS conformity_score FROM k_alerts a WHERE a.pub""")
 def incremental_scoring(t):
@@ -49,9 +56,7 @@ def q_drift_stream(t):
 
 @query("sink_stage_tables", "SELECT processo_id, final AS overall_status, CAST(score AS DOUBLE) AS conformity_score FROM k_conformity")
 def sink_stage_tables(t):
-    import uuid
-
-    root = f"{checkpoint_dir(t.spark)}/pactum/{uuid.uuid4().hex}"
+    root = _fresh_folder(t)
     write_stage(t.conformity.select(KEY, "overall_status", "conformity_score"), root, "conformity", 16)
     return read_stage(t.spark, root, "conformity")
 
@@ -59,9 +64,17 @@ def sink_stage_tables(t):
 @query("sink_summaries", """
 SELECT count(*) AS total_contracts, count(*) FILTER (alert_level = 'OK') AS ok FROM k_alerts""")
 def sink_summaries(t):
-    from pactum.operators.alerts import alerts_summary
-
     summary = alerts_summary(t.alerts).select(F.to_json(F.struct("*")).alias("document"))
     return summary.select(
         F.get_json_object("document", "$.total_contracts").cast("bigint").alias("total_contracts"),
         F.get_json_object("document", "$.ok").cast("bigint").alias("ok"))
+
+
+@query("append_to_list", """
+SELECT processo_id, stage, coalesce(error, '') AS error_msg, logged_at AS failed_at FROM run_log WHERE outcome = 'failed'""")
+def append_to_list(t):
+    path = f"{_fresh_folder(t)}/failed_items"
+    failures = new_failures(t.run_log).select(KEY, "stage", "error_msg", "failed_at")
+    for stage in ("stage2", "stage3", "stage4"):
+        append_rows(failures.where(F.col("stage") == stage), path)
+    return t.spark.read.parquet(path)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,7 +79,7 @@ def append_rows(df: DataFrame, path: str) -> None:
     spark = df.sparkSession
     try:
         stored = spark.read.parquet(path).schema
-    except Exception:
+    except AnalysisException:  # nothing stored yet
         stored = None
     shape = [(f.name, f.dataType) for f in df.schema]
     if stored is not None and [(f.name, f.dataType) for f in stored] != shape:

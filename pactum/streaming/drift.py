@@ -56,7 +56,7 @@ def follow(baseline: str | None, probes) -> tuple[str, list[list[str]]]:
     return baseline, changes
 
 
-def selector_drift(probes: DataFrame, chunk: str = "hour") -> DataFrame:
+def selector_drift(probes: DataFrame, chunk: str = "day") -> DataFrame:
     """Drift of every probe ``(portal, ts, seq, selectors map)``.
 
     Chunks bound what one task holds: a portal with a third of all probes is
