@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactum.llm import bpe, common, quality
+from pactum.llm import bpe, common, minhash, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -28,3 +28,8 @@ def op6_tokeniser_fertility(spark, sf_dir):
     first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
              "base_failed", "kept"]
     return found.select(*first, *[c for c in found.columns if c not in first])
+
+
+@query
+def op7_minhash(spark, sf_dir):
+    return minhash.near_duplicates(common.documents(spark, sf_dir), width=4, percent=80)
