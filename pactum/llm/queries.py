@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactum.llm import bpe, common, minhash, quality
+from pactum.llm import bpe, common, minhash, order_minhash, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -33,3 +33,8 @@ def op6_tokeniser_fertility(spark, sf_dir):
 @query
 def op7_minhash(spark, sf_dir):
     return minhash.near_duplicates(common.documents(spark, sf_dir), width=4, percent=80)
+
+
+@query
+def op10_order_minhash(spark, sf_dir):
+    return order_minhash.neighbour_fingerprints(common.documents(spark, sf_dir))
