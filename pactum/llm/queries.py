@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactum.llm import bpe, common, minhash, order_minhash, quality
+from pactum.llm import bpe, common, minhash, order_minhash, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -38,3 +38,9 @@ def op7_minhash(spark, sf_dir):
 @query
 def op10_order_minhash(spark, sf_dir):
     return order_minhash.neighbour_fingerprints(common.documents(spark, sf_dir))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    return toxicity.toxicity(
+        common.documents(spark, sf_dir), common.documents(spark, sf_dir, "labels"))
