@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactum.llm import bpe, common, minhash, order_minhash, quality, toxicity
+from pactum.llm import bpe, common, minhash, order_minhash, quality, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -44,3 +44,11 @@ def op10_order_minhash(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     return toxicity.toxicity(
         common.documents(spark, sf_dir), common.documents(spark, sf_dir, "labels"))
+
+
+@query
+def op5_url_filter(spark, sf_dir):
+    return url_filter.judge(common.documents(spark, sf_dir, "pages"), url_filter.rule_table(spark))
+
+
+CHECKS["op5_url_filter"] = url_filter.SQL
