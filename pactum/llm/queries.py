@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactum.llm import bpe, common, minhash, order_minhash, quality, toxicity, url_filter
+from pactum.llm import bpe, common, minhash, order_minhash, pii, quality, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -52,3 +52,8 @@ def op5_url_filter(spark, sf_dir):
 
 
 CHECKS["op5_url_filter"] = url_filter.SQL
+
+
+@query
+def op2_disclosure(spark, sf_dir):
+    return pii.personal_data(common.documents(spark, sf_dir))
