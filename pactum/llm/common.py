@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from pactum.sources.stage_store import store
 
-__all__ = ["documents", "store", "row_key", "text_slices", "word_codes", "Memo",
-           "ragged_append", "ragged_gather"]
+__all__ = ["documents", "store", "text_slices", "Memo", "ragged_append", "ragged_gather",
+           "membership", "may_hold"]
 
 #: Characters of text that a Python worker handles at once; one longer text is handled alone.
 SLICE_CHARS = 4_000_000
@@ -24,11 +24,6 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def row_key(text: Column) -> Column:
-    """Tells apart rows that share an id but not their text (null reads as empty)."""
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -52,24 +47,6 @@ def _cut(batch, column, first, last):
     return part, [t if t is not None else "" for t in part.column(column).to_pylist()]
 
 
-def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Words of UTF-8 texts as codes: (codes of all words, offsets by text, distinct words).
-
-    ``bytes.split`` parts at the ASCII white space 0x09-0x0D and 0x20 only, which
-    are the separators of the word class ``[^\\x20\\x09-\\x0D]+``.
-    """
-    words: list[bytes] = []
-    counts = np.zeros(len(texts) + 1, np.int64)
-    for i, text in enumerate(texts):
-        own = text.split()
-        counts[i + 1] = len(own)
-        words += own
-    distinct = list(dict.fromkeys(words))
-    code = {w: i for i, w in enumerate(distinct)}
-    codes = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
-    return codes, np.cumsum(counts), distinct
-
-
 class Memo:
     """Codes of units, and arrays with one value per code, kept from slice to slice.
 
@@ -115,3 +92,35 @@ def ragged_gather(values: np.ndarray, offsets: np.ndarray, pick: np.ndarray):
     total = int(ends[-1]) if len(ends) else 0
     shift = np.repeat(offsets[:-1][pick] - (ends - lengths), lengths)
     return values[shift + np.arange(total)], lengths
+
+
+#: 64-bit words of a membership filter: 1 MB, whatever the number of members.
+FILTER_WORDS = 1 << 17
+
+
+def _bit(hash_: Column) -> tuple[Column, Column]:
+    place = F.pmod(hash_, F.lit(64 * FILTER_WORDS))
+    return F.floor(place / 64).cast("int"), (place % 64).cast("int")
+
+
+def membership(rows: DataFrame, hash_: Column) -> DataFrame:
+    """One row ``bits``: an array of fixed size in which the bit of every member's hash is set.
+
+    Broadcasting it is bounded by ``FILTER_WORDS``. It only thins out what an
+    exact join then decides; the fuller it is, the less it thins out.
+    """
+    word, bit = _bit(hash_)
+    one = F.lit(1).cast("long")
+    used = rows.select(word.alias("id"), F.call_function("shiftleft", one, bit).alias("mask")).groupBy(
+        "id").agg(F.bit_or("mask").alias("mask"))
+    slots = rows.sparkSession.range(FILTER_WORDS).select(F.col("id").cast("int").alias("id"))
+    masks = slots.join(used, "id", "left").select(
+        F.struct("id", F.coalesce("mask", F.lit(0).cast("long")).alias("mask")).alias("slot"))
+    return masks.agg(F.transform(F.array_sort(F.collect_list("slot")), lambda s: s["mask"]).alias("bits"))
+
+
+def may_hold(bits: Column, hash_: Column) -> Column:
+    """False only where the hash is no member's."""
+    word, bit = _bit(hash_)
+    return F.call_function("shiftright", F.get(bits, word), bit).bitwiseAND(
+        F.lit(1).cast("long")) == 1

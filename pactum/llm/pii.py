@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.common import store
+from pactum.llm.common import may_hold, membership, store
 
 #: Kinds in the order of the result; the method's own kind comes last.
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -34,7 +34,6 @@ WINDOW = 3  # terms on either side of a mention
 THRESHOLD = 0.9
 MIN_DOCS = 3  # distinct texts that must show a term beside an entity
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
-_FILTER_WORDS = 1 << 14  # 64-bit words of the term filter: 128 kB, whatever the corpus
 _SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
 
 
@@ -166,40 +165,17 @@ def _candidates(found: DataFrame, threshold: float) -> DataFrame:
         "term", "n_both", "n_entity", "total")
 
 
-def _bit(term: Column) -> tuple[Column, Column]:
-    place = F.pmod(F.xxhash64(term), F.lit(64 * _FILTER_WORDS))
-    return F.floor(place / 64).cast("int"), (place % 64).cast("int")
-
-
-def _filter_row(terms: DataFrame) -> DataFrame:
-    """One row with a bit array of fixed size, in which the bit of every term is set."""
-    spark = terms.sparkSession
-    word, bit = _bit(F.col("term"))
-    set_ = terms.select(word.alias("id"), F.call_function(
-        "shiftleft", F.lit(1).cast("long"), bit).alias("mask")).groupBy("id").agg(
-        F.bit_or("mask").alias("mask"))
-    all_ = spark.range(_FILTER_WORDS).select(F.col("id").cast("int").alias("id")).join(
-        set_, "id", "left")
-    return all_.agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("id", F.coalesce("mask", F.lit(0).cast("long")).alias(
-            "mask")))), lambda s: s["mask"]).alias("bits"))
-
-
 def _mentions(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
     """(key, term, places) of the given terms in every text, once per distinct text.
 
     Each task drops words that the bit array excludes; the exact join sees what
     is left. The array has a fixed size, so its broadcast is bounded.
     """
-    body = docs.select(_body(text).alias("_text")).crossJoin(F.broadcast(_filter_row(terms)))
+    body = docs.select(_body(text).alias("_text")).crossJoin(F.broadcast(
+        membership(terms, F.xxhash64("term"))))
     words = F.array_distinct(F.transform(F.split("_text", _BREAK), F.lower))
-
-    def may(w):
-        word, bit = _bit(w)
-        return F.call_function("shiftright", F.get("bits", word), bit).bitwiseAND(
-            F.lit(1).cast("long")) == 1
-
-    hits = body.select("_text", F.explode(F.filter(words, may)).alias("term"))
+    likely = F.filter(words, lambda w: may_hold(F.col("bits"), F.xxhash64(w)))
+    hits = body.select("_text", F.explode(likely).alias("term"))
     exact = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])\Q"), F.col("term"), F.lit(r"\E(?![\p{L}\p{N}])"))
     placed = hits.select(*_keys(F.col("_text")), "term", F.transform(
         _places(F.col("_text"), exact), lambda s: F.struct(s["start"], s["end"])).alias("places"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pactum.llm import bpe, common, minhash, order_minhash, pii, quality, toxicity, url_filter
+from pactum.llm import bpe, common, line_dedup, minhash, order_minhash, pii, quality, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -57,3 +58,10 @@ CHECKS["op5_url_filter"] = url_filter.SQL
 @query
 def op2_disclosure(spark, sf_dir):
     return pii.personal_data(common.documents(spark, sf_dir))
+
+
+@query
+def op1_line_templates(spark, sf_dir):
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.drop_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
