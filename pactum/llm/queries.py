@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm import bpe, common, line_dedup, minhash, order_minhash, pii, quality, toxicity, url_filter
+from pactum.llm import bpe, common, line_dedup, minhash, order_minhash, packing, pii, quality, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -65,3 +65,8 @@ def op1_line_templates(spark, sf_dir):
     docs = common.documents(spark, sf_dir).select("doc_id", "text")
     return line_dedup.drop_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op8_best_fit(spark, sf_dir):
+    return packing.pack(common.documents(spark, sf_dir))
