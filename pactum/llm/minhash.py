@@ -95,8 +95,8 @@ def signatures(docs: DataFrame, width: int, hashes: int = HASHES) -> DataFrame:
         run, "doc_id long, n_shingles long, set_key binary, signature binary")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, shingles) of the named documents, made anew from their texts."""
+def _profiles(docs: DataFrame, nodes: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, n_shingles, signature, shingles) of the named nodes; the sets are made anew from the texts."""
 
     def run(batches):
         for part, texts in text_slices(batches):
@@ -108,24 +108,34 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     named = docs.select("doc_id", "text").join(
         ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     made = named.mapInArrow(run, "id long, set_key binary, shingles binary")
-    return made.groupBy("id", "set_key").agg(F.first("shingles").alias("shingles")).drop("set_key")
+    single = made.groupBy("id", "set_key").agg(F.first("shingles").alias("shingles"))
+    return nodes.join(single, ["id", "set_key"]).select("id", "n_shingles", "signature", "shingles")
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
     common = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def _check(links: DataFrame, values: DataFrame, value: str, test) -> DataFrame:
-    """Links (a, b) whose two ``value``s pass ``test``."""
-    both = links.join(values.select(F.col("id").alias("a"), F.col(value).alias("x")), "a").join(
-        values.select(F.col("id").alias("b"), F.col(value).alias("y")), "b").select(
-        "a", "b", "x", "y")
+def _confirm(links: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that the signatures allow and the full sets confirm."""
+    side = ("signature", "shingles")
+    both = links
+    for end in ("a", "b"):
+        both = both.join(profiles.select(
+            F.col("id").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in side]), end)
+    both = both.select("a", "b", *[f"{end}_{c}" for c in side for end in ("a", "b")])
 
     def run(batches):
         for batch in batches:
-            x, y = batch.column(2), batch.column(3)
-            keep = [test(x[i].as_buffer(), y[i].as_buffer()) for i in range(batch.num_rows)]
+            keep = []
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), "<u4") for c in (2, 3))
+                keep.append(np.mean(x == y) >= percent / 100 - SIGNATURE_SLACK and _similar(
+                    *(np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (4, 5)),
+                    percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
@@ -153,53 +163,72 @@ def _stars(members: DataFrame) -> DataFrame:
         "id != b").select(F.col("id").alias("a"), "b").distinct()
 
 
-def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
-            percent: int) -> DataFrame:
+def _across(members: DataFrame, labels: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """Links between different components that share a bucket.
 
+    Of buckets with the same members only that of the first band is looked at.
     The largest component of a bucket is never compared with itself; all others
-    are compared with it and with each other, block by block. A block pair
-    returns at most as many links as join its components.
+    are compared with it and with each other, in groups of bounded size. A
+    group returns at most as many links as join its components.
     """
     found = members.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "bucket", "band", "id", F.coalesce("component", "id").alias("component"))
     mixed = found.groupBy("bucket").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    open_ = found.join(mixed.select("bucket"), "bucket")
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("band").alias("band"),
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where("lo != hi")
+    mixed = mixed.groupBy("n", "x", "y").agg(F.min_by("bucket", "band").alias("bucket"))
+    open_ = store(found.join(mixed.select("bucket"), "bucket").join(
+        profiles.select("id", "n_shingles"), "id"), "open_buckets")
     main = open_.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(
         _unpacked(F.max(_packed(F.col("n"), F.col("component")))).alias("main"))
-    sided = store(
-        open_.join(main, "bucket").withColumn("rest", F.col("component") != F.col("main")).join(
-            nodes.select("id", "n_shingles"), "id"), "open_buckets")
-    sets = store(_sets(docs, sided, width), "open_sets")
-    blocks = sided.groupBy("bucket", "rest").agg(
-        F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("n_blocks"))
-    placed = sided.drop("n_shingles").join(blocks, ["bucket", "rest"]).withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
-    filled = placed.join(sets, "id").join(nodes.select("id", "signature"), "id").groupBy(
-        "bucket", "band", "rest", "block").agg(
-        F.collect_list(F.struct("id", "component", "signature", "shingles")).alias("rows"))
-    filled = store(filled, "blocks")
-    left = filled.where("rest").select("bucket", "band", F.col("block").alias("i"),
-                                       F.col("rows").alias("x"))
-    right = filled.select("bucket", "rest", F.col("block").alias("j"), F.col("rows").alias("y"))
-    pairs = left.join(right, "bucket").where("not rest or i <= j").select("band", "x", "y")
+    sided = open_.join(main, "bucket").withColumn("rest", F.col("component") != F.col("main"))
+    weight = lambda own: F.ceil(
+        F.coalesce(F.sum(F.when(own, F.col("n_shingles"))), F.lit(0)) / BLOCK_SHINGLES)
+    blocks = sided.groupBy("bucket").agg(
+        weight(F.lit(True)).alias("blocks"), weight(F.col("rest")).alias("rests"),
+        weight(~F.col("rest")).alias("mains"))
+    placed = sided.drop("n_shingles", "main").join(blocks, "bucket").withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.when(F.col("rest"), F.col("rests")).otherwise(
+            F.col("mains"))))
+
+    def pair(kind, i, j):
+        return F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"))
+
+    block, zero = F.col("block"), F.lit(0)
+    upto = lambda n: F.sequence(zero.cast("long"), F.col(n) - 1)
+    groups = F.when(F.col("blocks") == 1, F.array(pair("all", zero, zero))).when(
+        F.col("rest"),
+        F.concat(
+            F.transform(upto("rests"), lambda k: pair("rest", F.least(block, k), F.greatest(block, k))),
+            F.when(F.col("mains") > 0, F.transform(upto("mains"), lambda k: pair("main", block, k)))
+            .otherwise(F.array().cast("array<struct<kind:string,i:long,j:long>>"))),
+    ).otherwise(F.transform(upto("rests"), lambda k: pair("main", k, block)))
+    dealt = placed.select("bucket", "band", "id", "component", "rest", "block",
+                          F.explode(groups).alias("group"))
+    filled = dealt.join(profiles.select("id", "signature", "shingles"), "id").groupBy(
+        "bucket", "band", "group").agg(F.collect_list(
+            F.struct("id", "component", "rest", "block", "signature", "shingles")).alias("rows"))
 
     def run(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                links = _compare(*(batch.column(c)[i].as_py() for c in range(3)), percent)
+            for band, group, rows in zip(*(batch.column(c) for c in range(3))):
+                links = _compare(band.as_py(), group.as_py(), rows.as_py(), percent)
                 yield pa.RecordBatch.from_pydict(
                     {"a": pa.array([a for a, _ in links], pa.int64()),
                      "b": pa.array([b for _, b in links], pa.int64())})
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return filled.select("band", "group", "rows").mapInArrow(run, "a long, b long")
 
 
-def _compare(band: int, xs: list[dict], ys: list[dict], percent: int) -> list[tuple[int, int]]:
-    """Links that join components of two blocks; a pair is looked at in its first common band only."""
-    mine = np.array([np.frombuffer(r["signature"], "<u4") for r in xs])
-    theirs = np.array([np.frombuffer(r["signature"], "<u4") for r in ys])
+def _compare(band: int, group: dict, rows: list[dict], percent: int) -> list[tuple[int, int]]:
+    """Links that join components of a group; a pair is looked at in its first common band only."""
+    rows = sorted(rows, key=lambda r: r["id"])
+    signs = np.array([np.frombuffer(r["signature"], "<u4") for r in rows])
+    sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+    rest = np.array([r["rest"] for r in rows])
+    block = np.array([r["block"] for r in rows])
+    place = np.arange(len(rows))
     root: dict[int, int] = {}
 
     def find(c):
@@ -208,17 +237,22 @@ def _compare(band: int, xs: list[dict], ys: list[dict], percent: int) -> list[tu
         return c
 
     links = []
-    for r, sig in zip(xs, mine):
-        same = theirs == sig
-        earlier = same[:, :band * BAND_ROWS].reshape(len(ys), band, BAND_ROWS).all(axis=2).any(axis=1)
-        close = same.mean(axis=1)
-        for k in np.flatnonzero(~earlier & (close >= percent / 100 - SIGNATURE_SLACK)):
-            o = ys[k]
-            a, b = find(r["component"]), find(o["component"])
-            if a != b and _similar(np.frombuffer(r["shingles"], np.uint64),
-                                   np.frombuffer(o["shingles"], np.uint64), percent):
+    for i in np.flatnonzero(rest):
+        if group["kind"] == "main":
+            other = ~rest
+        else:
+            other = ~rest | (place > i)
+            if group["kind"] == "rest" and group["i"] != group["j"]:
+                other &= block != block[i]
+        others = np.flatnonzero(other)
+        same = signs[others] == signs[i]
+        earlier = same[:, :band * BAND_ROWS].reshape(len(others), band, BAND_ROWS).all(axis=2).any(axis=1)
+        close = same.mean(axis=1) >= percent / 100 - SIGNATURE_SLACK
+        for k in others[~earlier & close]:
+            a, b = find(rows[i]["component"]), find(rows[k]["component"])
+            if a != b and _similar(sets[i], sets[k], percent):
                 root[max(a, b)] = min(a, b)
-                links.append((r["id"], o["id"]))
+                links.append((rows[i]["id"], rows[k]["id"]))
     return links
 
 
@@ -245,19 +279,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = rows.groupBy("bucket").agg(
         F.count("*").alias("size"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi")
     members = store(rows.join(shared.select("bucket", "size"), "bucket"), "members")
+    profiles = store(_profiles(docs, nodes, members, width), "profiles")
 
-    stars = store(_check(
-        _stars(members), nodes, "signature",
-        lambda x, y: np.mean(np.frombuffer(x, "<u4") == np.frombuffer(y, "<u4"))
-        >= percent / 100 - SIGNATURE_SLACK), "stars")
-    sets = store(_sets(docs, stars.select(F.col("a").alias("id")).union(stars.select("b")), width),
-                 "sets")
-    links = store(_check(
-        stars, sets, "shingles",
-        lambda x, y: _similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)),
-        "links")
-    labels = components(links)
-    more = store(_across(members, labels, nodes, docs, width, percent), "cross_links")
+    labels = components(_confirm(_stars(members), profiles, percent))
+    more = _across(members, labels, profiles, percent)
     labels = components(labels.toDF("a", "b").union(more))
 
     named = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
