@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm import bpe, common, line_dedup, minhash, order_minhash, packing, pii, quality, toxicity, url_filter
+from pactum.llm import bpe, common, line_dedup, minhash, order_minhash, packing, pii, quality, secrets_scan, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -70,3 +70,8 @@ def op1_line_templates(spark, sf_dir):
 @query
 def op8_best_fit(spark, sf_dir):
     return packing.pack(common.documents(spark, sf_dir))
+
+
+@query
+def op4_secret_forest(spark, sf_dir):
+    return secrets_scan.scan(common.documents(spark, sf_dir))
