@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pactum import constants as K
 from pactum.functions.dates import parse_dmy
 from pactum.functions.text import text_or_blank
+from pactum.operators.ranking import last_per_process
 from pactum.operators.rules import primary_violation, severity
 from pactum.operators.state import missing_phase
 
@@ -20,8 +21,11 @@ def report_rows(
 ) -> DataFrame:
     """One row per discovered process; unscored processes keep blank scores.
 
-    Every side is unique by process, so no join multiplies rows.
+    A process that stands on a side more than once counts with its last row, so
+    no join multiplies rows.
     """
+    conformity, metadata, publications, contracts = map(
+        last_per_process, (conformity, metadata, publications, contracts))
     scored = conformity.select(
         KEY, F.lit(True).alias("is_scored"), "score_breakdown", "overall_status",
         "conformity_score", "flags", "recommendations", "requires_review",

@@ -174,25 +174,15 @@ def best_raw_publication(docs: DataFrame) -> DataFrame:
 
 
 # -- parts of one contract -----------------------------------------------------------------
-PARTS_PER_SEGMENT = 64
-
-
 def merge_parts(parts: DataFrame) -> DataFrame:
-    """Successful parts joined in order, in segments of a bounded number of parts.
+    """Successful parts of a contract joined in order: one row per contract.
 
-    A contract's text is its segments in order with the separator between them;
-    nearly every contract has one segment, and none grows without bound.
+    A contract is one document, so its parts meet in one row, as its text does.
     """
-    segment = F.floor((F.col("part") - 1) / PARTS_PER_SEGMENT)
     ordered = F.sort_array(F.collect_list(F.struct("part", "text")))
-    return (
-        parts.where("success")
-        .groupBy(KEY, segment.alias("segment"))
-        .agg(ordered.alias("_parts"))
-        .select(
-            KEY, "segment",
-            F.array_join(F.transform("_parts", lambda p: p["text"]), K.PART_SEPARATOR).alias("text"))
-    )
+    return parts.where("success").groupBy(KEY).agg(ordered.alias("_parts")).select(
+        KEY,
+        F.array_join(F.transform("_parts", lambda p: p["text"]), K.PART_SEPARATOR).alias("text"))
 
 
 def merged_measures(parts: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pactum.operators import compliance as C
 from pactum.operators import conformity as S
 from pactum.operators import rules as R
 from pactum.operators.diagnostic import values_match
-from pactum.operators.ranking import global_rank
+from pactum.operators.ranking import global_rank, last_per_process
 from pactum.plans.check_sql import brl_sql, date_sql, joined_list, name_sql, same_sql, score_sql
 from pactum.plans.registry import query
 
@@ -423,7 +423,8 @@ def all_alerts_ordered(t):
         F.when(~ok, F.col("conformity_score")),
         F.col(KEY),
     ]
-    ranked = global_rank(t.alerts.select(KEY, "alert_level", "conformity_score"), order, "position")
+    last = last_per_process(t.alerts.select(KEY, "alert_level", "conformity_score"))
+    ranked = global_rank(last, order, "position")
     return ranked.select(KEY, "alert_level", "position")
 
 

@@ -178,13 +178,13 @@ _SEP = "chr(10) || chr(10) || '--- DOCUMENT PART SEPARATOR ---' || chr(10) || ch
 
 
 @query("document_parts_merge", f"""
-SELECT processo_id, CAST(0 AS BIGINT) AS segment, md5(string_agg(text, {_SEP} ORDER BY part)) AS text_md5, count(*) AS parts
+SELECT processo_id, md5(string_agg(text, {_SEP} ORDER BY part)) AS text_md5, count(*) AS parts
 FROM contract_parts WHERE success GROUP BY processo_id""")
 def document_parts_merge(t):
     merged = R.merge_parts(t.view("contract_parts"))
     gap = F.regexp_count("text", F.lit("--- DOCUMENT PART SEPARATOR ---"))
     return merged.select(
-        KEY, "segment", F.md5("text").alias("text_md5"), (gap + 1).cast("bigint").alias("parts"))
+        KEY, F.md5("text").alias("text_md5"), (gap + 1).cast("bigint").alias("parts"))
 
 
 @query("merged_document_measures", f"""

@@ -22,6 +22,9 @@ def build_session(app: str = "pactum", cores: int | str = "*", **conf: str) -> S
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # The JVM never compiles methods above 8000 bytes; below the limit Spark
+        # emits small ones instead. A cluster's session should set it as well.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -30,26 +33,17 @@ def build_session(app: str = "pactum", cores: int | str = "*", **conf: str) -> S
     return spark
 
 
-HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    """Let wide rule projections run as compiled code.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder; a temporary one only for a local session without one.
 
-    The JVM never compiles methods above 8000 bytes, and one fused method over
-    all rules exceeds that. Below the limit Spark emits small methods instead,
-    which run more than twice as fast. A limit set by the user is kept.
+    Executors of a cluster do not see a folder of the driver's machine, so a
+    cluster session that names none is refused.
     """
-    if spark.conf.get(HUGE_METHOD, "65535") == "65535":
-        spark.conf.set(HUGE_METHOD, "8000")
-    return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is named."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)

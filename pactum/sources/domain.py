@@ -14,7 +14,6 @@ from pactum.operators.evaluate import compliance_stage, conformity_stage
 from pactum.operators.gazette_text import parsed_documents
 from pactum.operators.report import report_rows
 from pactum.operators.state import state_index
-from pactum.session import tune
 from pactum.sources import adapter
 from pactum.sources.stage_store import store
 
@@ -25,7 +24,7 @@ class Tables:
     """Lazy access to the audit tables of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = tune(spark), sf_dir
+        self.spark, self.sf_dir = spark, sf_dir
 
     def view(self, name: str) -> DataFrame:
         return adapter.table(self.spark, self.sf_dir, name)
@@ -107,8 +106,7 @@ class Tables:
 
     @cached_property
     def gazette_docs(self) -> DataFrame:
-        return adapter.spread_small(
-            self.view("gazette_docs"), self.view("lineitem"), KEY, "document_index")
+        return self.view("gazette_docs")
 
     @cached_property
     def contract_docs(self) -> DataFrame:
@@ -119,12 +117,12 @@ class Tables:
         return self.view("run_log")
 
 
-_OPEN: dict[tuple[int, str], Tables] = {}
+_OPEN: dict[tuple[str, str], Tables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The tables of one folder; their lazy plans are built once per session."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _OPEN:
         _OPEN[key] = Tables(spark, sf_dir)
     return _OPEN[key]

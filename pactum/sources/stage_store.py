@@ -30,27 +30,59 @@ def key_bucket(key: str = "processo_id", buckets: int = BUCKETS):
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+VERSION = "version"
+
+
+def _next_version(spark: SparkSession, path: str) -> int:
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 1  # nothing stored yet
+    return (stored.agg(F.max(VERSION)).first()[0] or 0) + 1
+
+
 def write_stage(df: DataFrame, root: str, stage: str, buckets: int = BUCKETS) -> None:
-    """Write a stage table; only the key buckets present in ``df`` are replaced."""
+    """Upsert: the rows of every key in ``df`` replace that key's stored rows.
+
+    A write adds a version and touches no stored file, so a failed write leaves
+    the table as it was. Rows are dealt by key bucket; a bucket that is too
+    large for one task is split by size at run time. One writer at a time.
+    """
+    path = f"{root}/{stage}"
+    version = _next_version(df.sparkSession, path)
     (
         df.withColumn(BUCKET, key_bucket(buckets=buckets))
-        .repartition(BUCKET)
+        .hint("rebalance", BUCKET)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
-        .parquet(f"{root}/{stage}")
+        .parquet(f"{path}/{VERSION}={version}")
     )
 
 
+def _newest(rows: DataFrame) -> DataFrame:
+    """The rows of each key's last version."""
+    last = rows.groupBy(F.col("processo_id").alias("_key")).agg(F.max(VERSION).alias("_last"))
+    current = F.col("processo_id").eqNullSafe(F.col("_key")) & (F.col(VERSION) == F.col("_last"))
+    return rows.join(last, current, "left_semi").drop(VERSION, BUCKET)
+
+
 def read_stage(spark: SparkSession, root: str, stage: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{stage}").drop(BUCKET)
+    return _newest(spark.read.parquet(f"{root}/{stage}"))
+
+
+def compact_stage(spark: SparkSession, root: str, stage: str, target: str,
+                  buckets: int = BUCKETS) -> None:
+    """Write the current rows as the first version of the stage under another root."""
+    write_stage(read_stage(spark, root, stage), target, stage, buckets)
 
 
 def read_process(spark: SparkSession, root: str, stage: str, pid: str, buckets: int = BUCKETS):
     """One process's rows; only its bucket's files are read."""
     bucket = F.pmod(F.xxhash64(F.lit(pid)), F.lit(buckets)).cast("int")
-    return spark.read.parquet(f"{root}/{stage}").where(
-        (F.col(BUCKET) == bucket) & (F.col("processo_id") == pid)).drop(BUCKET)
+    return _newest(spark.read.parquet(f"{root}/{stage}").where(
+        (F.col(BUCKET) == bucket) & (F.col("processo_id") == pid)))
 
 
 def write_summary(row: DataFrame, path: str) -> None:
@@ -63,14 +95,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_sheets(sheets: dict[str, DataFrame], root: str) -> list[str]:
-    """Report sheets as CSV folders; one failing sheet does not stop the others."""
-    failed = []
+def write_sheets(sheets: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Report sheets as CSV folders; one failing sheet does not stop the others.
+
+    Returns the cause of each sheet that failed.
+    """
+    failed = {}
     for name, df in sheets.items():
         try:
             write_csv(df, f"{root}/{name}")
-        except Exception:
-            failed.append(name)
+        except Exception as problem:
+            failed[name] = str(problem)
     return failed
 
 
@@ -79,8 +114,10 @@ def append_rows(df: DataFrame, path: str) -> None:
     spark = df.sparkSession
     try:
         stored = spark.read.parquet(path).schema
-    except AnalysisException:  # nothing stored yet
-        stored = None
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = None  # nothing stored yet
     shape = [(f.name, f.dataType) for f in df.schema]
     if stored is not None and [(f.name, f.dataType) for f in stored] != shape:
         raise ValueError(f"rows do not fit the stored list at {path}")

@@ -17,10 +17,10 @@ KEY = "processo_id"
 def score_batch(
     publications: DataFrame, contracts: DataFrame, raw_texts: DataFrame, answers: DataFrame
 ) -> DataFrame:
-    """Alerts of the contracts that a batch of publications names."""
-    named = contracts.join(publications.select(KEY).distinct(), KEY, "left_semi")
-    return classify_alerts(
-        conformity_stage(compliance_stage(named, publications, raw_texts, answers)))
+    """Alerts of the contracts that a batch of publications names; other rows are not touched."""
+    keys = publications.select(KEY).distinct()
+    named, texts, replies = (d.join(keys, KEY, "left_semi") for d in (contracts, raw_texts, answers))
+    return classify_alerts(conformity_stage(compliance_stage(named, publications, texts, replies)))
 
 
 def start_scoring(
@@ -29,15 +29,22 @@ def start_scoring(
 ) -> StreamingQuery:
     """Score publications as they arrive; each batch owns one folder of the result.
 
-    A batch that is run again after a failure overwrites its own folder, so
-    every publication is scored exactly once in the result.
+    Arrived publications are kept beside the result, and a process is scored
+    with the newest of all its publications so far. So the alert of a process
+    does not depend on how its publications are cut into batches. A batch that
+    is run again after a failure overwrites its own folders.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{out}_arrived/batch={batch_id}")
+        arrived = spark.read.schema(f"{batch.schema.toDDL()}, batch long").parquet(
+            f"{out}_arrived").where(F.col("batch") <= batch_id).drop("batch")
+        touched = arrived.join(batch.select(KEY).distinct(), KEY, "left_semi")
         # A struct is never null itself, so undated publications are ranked too.
         newest = F.struct(
             parse_dmy(F.col("publication_date")), "publication_date", "contract_number", "value")
-        latest = pick_last(batch, [KEY], newest)
+        latest = pick_last(touched, [KEY], newest)
         scored = score_batch(latest, contracts, raw_texts, answers)
         scored.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 

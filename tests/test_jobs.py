@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 import compare
 import __spark_entry__ as entry
 from pactum import schemas
-from pactum.operators.ranking import global_rank, pick_first, running_index
+from pactum.operators.discovery import discovery_metadata
+from pactum.operators.ranking import global_rank, last_per_process, pick_first, running_index
+from pactum.operators.report import report_rows
 from pactum.operators.runs import resolve_failures
 from pactum.operators.state import COMPLIANCE_DOCUMENT, parse_documents
 from pactum.sources import stage_store as store
@@ -44,16 +46,33 @@ def test_pick_first_keeps_nulls(spark):
     assert got == {"a": (1, None), "b": (1, "y")}
 
 
-def test_stage_tables_replace_only_their_buckets(spark):
+def test_stage_upsert_of_one_key_keeps_all_others(spark):
     root = folder()
-    df = spark.createDataFrame([(f"p{i}", "old") for i in range(50)], "processo_id string, v string")
+    df = spark.createDataFrame([(f"p{i}", "old") for i in range(1000)], "processo_id string, v string")
     store.write_stage(df, root, "s", 8)
-    bucket = df.where("processo_id = 'p7'").select(store.key_bucket(buckets=8)).head()[0]
-    same = df.where(store.key_bucket(buckets=8) == bucket).withColumn("v", F.lit("new"))
-    store.write_stage(same, root, "s", 8)
+    store.write_stage(df.where("processo_id = 'p7'").withColumn("v", F.lit("new")), root, "s", 8)
+    store.write_stage(spark.createDataFrame([("q", "first")], df.schema), root, "s", 8)
     got = {r.processo_id: r.v for r in store.read_stage(spark, root, "s").collect()}
-    assert len(got) == 50 and got["p7"] == "new" and list(got.values()).count("old") == 50 - same.count()
-    assert store.read_process(spark, root, "s", "p7", 8).head().v == "new"
+    assert len(got) == 1001 and got["p7"] == "new" and list(got.values()).count("old") == 999
+    assert [r.v for r in store.read_process(spark, root, "s", "p7", 8).collect()] == ["new"]
+    target = folder()
+    store.compact_stage(spark, root, "s", target, 8)
+    assert {r.processo_id: r.v for r in store.read_stage(spark, target, "s").collect()} == got
+
+
+def test_last_row_of_a_process_wins(spark):
+    rows = spark.createDataFrame(
+        [("a", "x", 1), ("a", "y", 2), ("b", "z", 1)], "processo_id string, v string, written_at int")
+    for df in (rows, rows.orderBy(F.desc("v"))):
+        assert {r.processo_id: r.v for r in last_per_process(df).collect()} == {"a": "y", "b": "z"}
+    assert last_per_process(rows.drop("written_at")).count() == 2
+
+
+def test_report_rows_do_not_multiply(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    sides = (t.state, t.conformity.union(t.conformity), discovery_metadata(t.links), t.publications,
+             t.contracts.union(t.contracts))
+    assert report_rows(*sides).count() == t.state.count()
 
 
 def test_append_refuses_other_shapes(spark):
@@ -173,6 +192,23 @@ def test_incremental_scoring_equals_batch(spark, sf_dir):
     assert got == {r.processo_id: (r.alert_level, r.conformity_score) for r in published.collect()}
 
 
+def test_streamed_scores_do_not_depend_on_batches(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    one = t.publications.join(t.contracts.select("processo_id"), "processo_id", "left_semi").where(
+        "publication_date is not null").orderBy("processo_id").limit(1)
+    late = one.withColumn("publication_date", F.lit("31/12/2030"))
+    alerts = []
+    for order in ((one, late), (late, one), (one.union(late),)):
+        src, out, cp = folder(), folder() + "/alerts", folder()
+        for part in order:
+            part.coalesce(1).write.mode("append").parquet(src)
+            stream = spark.readStream.schema(t.publications.schema).parquet(src)
+            scoring.start_scoring(stream, t.contracts, t.raw_texts, t.answers, out, cp).awaitTermination(240)
+        alerts.append([(r.alert_level, r.conformity_score)
+                       for r in scoring.current_alerts(spark, out).collect()])
+    assert len(alerts[0]) == 1 and alerts[0] == alerts[1] == alerts[2]
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "processo_id" and df.limit(1).count() == 1

@@ -182,11 +182,11 @@ def test_merged_parts_equal_the_plain_join(spark):
     rows.append(("a", 9, False, "fora", 5, 10))
     parts = spark.createDataFrame(
         rows, "processo_id string, part bigint, success boolean, text string, pages bigint, pdf_size_bytes bigint")
-    texts: dict = {}
-    for r in sorted(merge_parts(parts).collect(), key=lambda r: (r.processo_id, r.segment)):
-        texts.setdefault(r.processo_id, []).append(r.text)
+    merged = merge_parts(parts).collect()
+    texts = {r.processo_id: r.text for r in merged}
+    assert len(merged) == len(cases)
     want = {k: PART_SEPARATOR.join(v) for k, v in cases.items()}
-    assert {k: PART_SEPARATOR.join(v) for k, v in texts.items()} == want
+    assert texts == want
     got = {r.processo_id: r for r in merged_measures(parts).collect()}
     for key, text in want.items():
         assert got[key].total_chars == len(text.strip()), key
