@@ -25,7 +25,8 @@ from pactum.llm.common import Memo, ragged_append, ragged_gather, store, text_sl
 
 SAMPLE_ROWS = 20_000
 FEATURES = 4_000
-MIN_DOCS = 3
+MIN_DOCS = 4
+MIN_GAP = 1.5  # difference of the classes' log frequencies
 THRESHOLD = 0.3
 PENALTY = 4.0
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&|-_/\\«»“”„…"
@@ -88,7 +89,8 @@ def choose(sets: list[set[str]], labels: np.ndarray, limit: int = FEATURES) -> l
         if no + yes < MIN_DOCS:
             continue
         gap = np.log((yes + 0.5) / total[1]) - np.log((no + 0.5) / total[0])
-        scored.append((-abs(gap) * np.sqrt(no + yes), name))
+        if abs(gap) >= MIN_GAP:
+            scored.append((-abs(gap) * np.sqrt(no + yes), name))
     identity = {f for t in _NEXT for f in features(t)} & (set(counts[0]) | set(counts[1]))
     best = [name for _, name in sorted(scored)[:limit]]
     return sorted(set(best) | identity)
@@ -103,8 +105,8 @@ def _matrix(sets: list[set[str]], column: dict[str, int]):
     return np.array(rows, np.int64), np.array(cols, np.int64)
 
 
-def fit(texts: list[str], labels: list[int], penalty: float = PENALTY, ridge: float = 2e-4,
-        rounds: int = 600) -> Model:
+def fit(texts: list[str], labels: list[int], penalty: float = PENALTY, ridge: float = 2e-5,
+        rounds: int = 1000) -> Model:
     """Minimise log loss + ridge + penalty x mean squared score change under identity swaps.
 
     Accelerated gradient descent from zero, without randomness. With no
@@ -125,11 +127,14 @@ def fit(texts: list[str], labels: list[int], penalty: float = PENALTY, ridge: fl
     m = len(paired)
 
     w, b, vw, vb = np.zeros(k), 0.0, np.zeros(k), 0.0
-    # Frequent columns have larger curvature; each step is scaled by its own.
-    curve = 0.25 * np.bincount(cols, minlength=k) / n * 6 + 2 * ridge
+    # A column's curvature is at most that of its rows with all their columns.
+    size = np.bincount(rows, minlength=n) + 1.0
+    curve = 0.25 * np.bincount(cols, size[rows], k) / n + 2 * ridge
+    bias_curve = 0.25 * size.mean()
     if m:
-        curve += 2 * penalty * (np.bincount(own_cols, minlength=k)
-                                + np.bincount(cf_cols, minlength=k)) / m * 4
+        both = np.bincount(own_rows, minlength=m) + np.bincount(cf_rows, minlength=m)
+        curve += 2 * penalty / m * (np.bincount(own_cols, both[own_rows], k)
+                                    + np.bincount(cf_cols, both[cf_rows], k))
     for step in range(rounds):
         pull = step / (step + 3)
         w0, b0 = w + pull * vw, b + pull * vb
@@ -141,7 +146,7 @@ def fit(texts: list[str], labels: list[int], penalty: float = PENALTY, ridge: fl
             change = np.bincount(own_rows, w0[own_cols], m) - np.bincount(cf_rows, w0[cf_cols], m)
             gw += 2 * penalty * (np.bincount(own_cols, change[own_rows], k)
                                  - np.bincount(cf_cols, change[cf_rows], k)) / m
-        new_w, new_b = w0 - gw / curve, b0 - gb / 5
+        new_w, new_b = w0 - gw / curve, b0 - gb / bias_curve
         vw, vb, w, b = new_w - w, new_b - b, new_w, new_b
     return Model({f: float(v) for f, v in zip(names, w) if v}, float(b))
 
