@@ -122,15 +122,13 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         F.concat("value", near).rlike(PLACEHOLDERS).cast("double").alias("placeholder"),
         F.regexp_count("before", F.lit(r"\p{L}{3,}")).cast("double").alias("words_before"),
     )
-    # Letters of the value that lie in dictionary words.
-    runs = rows.withColumn("run", F.explode_outer(F.array_distinct(
-        F.regexp_extract_all(F.lower(v), F.lit("[a-z]{4,}"), F.lit(0)))))
-    hit = runs.join(F.broadcast(words.select(F.col("word").alias("run"), F.lit(1).alias("known"))),
-                    "run", "left")
-    keys = [c for c in rows.columns]
-    return hit.groupBy(*keys).agg(
-        (F.coalesce(F.sum(F.when(F.col("known") == 1, F.length("run"))), F.lit(0)) / F.first(n)).alias(
-            "coverage"))
+    # Letters of each different value that lie in dictionary words.
+    runs = rows.select("value").distinct().withColumn("run", F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{4,}"), F.lit(0)))))
+    covered = runs.join(F.broadcast(words.select(F.col("word").alias("run"))), "run").groupBy(
+        "value").agg(F.sum(F.length("run")).alias("covered"))
+    return rows.join(covered, "value", "left").withColumn(
+        "coverage", F.coalesce("covered", F.lit(0)) / F.length("value")).drop("covered")
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
