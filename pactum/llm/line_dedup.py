@@ -104,7 +104,7 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` without their recurring lines; adds ``n_lines`` and ``n_dropped``.
+    """The rows of ``docs`` without their recurring lines; adds ``n_lines`` and ``n_dropped``.
 
     Rows that share an id count as one document, and the document with the
     lowest id keeps its lines of a template. Rows with a null id count towards
@@ -112,7 +112,7 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     null and has no line; a text whose lines are all dropped becomes empty, its
     row stays. Lines of fewer than three tokens are always kept. Repeated rows
     are treated alike. Other columns pass through, also ones named like helper
-    columns.
+    columns; ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
     drops = recurring_lines(docs).groupBy("doc_id", "tie").agg(F.collect_set("pos").alias("gone"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), F.xxhash64(
@@ -125,6 +125,7 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     kept = F.filter(lines, lambda line, i: ~F.array_contains("gone", i))
     new = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
     return both.select(
-        *[new.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns],
+        *[new.alias(c) if c == "text" else F.col("row")[c].alias(c)
+          for c in docs.columns if c not in ("n_lines", "n_dropped")],
         F.when(text.isNotNull() & (text != ""), F.size(lines)).otherwise(0).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"))

@@ -208,13 +208,15 @@ def quality(
     A null or empty text has no words: its counts are 0, its measures null, it
     fails. A null or unknown language takes the band of the text's script. Each
     row stands for itself, so ids may be null or repeat and no row meets another.
+    Input columns named like a measure are replaced by it.
     """
-    carry = [c for c in docs.columns if c != text] if carry is None else carry
+    measures = [f.strip().rsplit(" ", 1) for f in SCHEMA.split(",")]
+    names = {text, *(n for n, _ in measures)}
+    carry = [c for c in docs.columns if c not in names] if carry is None else carry
     paths = vocabularies.paths()
     kept = docs.select(*carry, F.col(text).cast("string").alias("_text"),
                        (F.col(lang).cast("string") if lang in docs.columns else F.lit(None).cast(
                            "string")).alias("_lang"))
-    measures = [f.strip().rsplit(" ", 1) for f in SCHEMA.split(",")]
     schema = kept.select(*carry, *[F.lit(None).cast(t).alias(n) for n, t in measures]).schema
     types = [{"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string(),
               "double": pa.float64()}[t] for _, t in measures]
