@@ -93,8 +93,8 @@ def likeness(x: np.ndarray, y: np.ndarray) -> float:
     return float((x == y)[filled].sum() / total) if total else 1.0
 
 
-def as_text(x: np.ndarray) -> str:
-    return x.astype(">u2").tobytes().hex()
+def packed(x: np.ndarray) -> bytes:
+    return x.astype(">u2").tobytes()
 
 
 def edited(text: str, other: str) -> str:
@@ -103,7 +103,7 @@ def edited(text: str, other: str) -> str:
     return text[:len(text) - half] + other[:half]
 
 
-_ROW = ("n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+_ROW = ("n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
         "near_edited double, near_next double")
 _MADE = [n.split()[0] for n in _ROW.split(", ")]
 
@@ -111,7 +111,7 @@ _MADE = [n.split()[0] for n in _ROW.split(", ")]
 def _compare(text: str, own: np.ndarray, other: str, others: np.ndarray) -> tuple:
     changed = edited(text, other)
     mark = fingerprint(changed)
-    return (len(text), hashlib.sha256(changed.encode()).hexdigest(), as_text(own), as_text(mark),
+    return (len(text), hashlib.sha256(changed.encode()).digest(), packed(own), packed(mark),
             likeness(own, mark), likeness(own, others))
 
 
@@ -121,8 +121,8 @@ def _rows(found: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _KEY = [pa.field("doc_id", pa.int64()), pa.field("tie", pa.int64()), pa.field("nth", pa.int64())]
-_VALUES = [pa.field("n_chars", pa.int64()), pa.field("edited_sha256", pa.string()),
-           pa.field("fingerprint", pa.string()), pa.field("edited_fingerprint", pa.string()),
+_VALUES = [pa.field("n_chars", pa.int64()), pa.field("edited_sha256", pa.binary()),
+           pa.field("fingerprint", pa.binary()), pa.field("edited_fingerprint", pa.binary()),
            pa.field("near_edited", pa.float64()), pa.field("near_next", pa.float64())]
 _CHAIN = pa.schema([*_KEY, pa.field("kind", pa.int32()), pa.field("text", pa.string()), *_VALUES])
 _DONE, _HEAD, _TAIL = 0, 1, 2
@@ -182,4 +182,6 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
         F.coalesce(F.lead("text").over(along), F.first("text").over(whole)).alias("other"),
     ).where(F.col("kind") == _TAIL).drop("kind")
     closed = tails.mapInArrow(_close, f"doc_id long, {_ROW}")
-    return walked.where(F.col("kind") == _DONE).select("doc_id", *_MADE).union(closed)
+    rows = walked.where(F.col("kind") == _DONE).select("doc_id", *_MADE).union(closed)
+    digests = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    return rows.withColumns({c: F.lower(F.hex(c)) for c in digests})
