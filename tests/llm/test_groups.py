@@ -66,7 +66,7 @@ def templated_docs():
     for i in range(80):
         lines = [prose(rng.randint(6, 14)) for _ in range(4)]
         if i % 2:
-            lines.insert(rng.randint(0, 4), f"Posted here by {rng.choice(words)} on day {i} of the year, all rights kept")
+            lines.insert(rng.randint(0, 4), f"Posted here by {chr(97 + i % 26)}{chr(97 + i // 26)} on day {i} of the year, all rights kept")
         if i % 5 == 0:
             lines.insert(rng.randint(0, 4), " ".join(["passage"] + words * 6))
         if i % 4 == 0:
