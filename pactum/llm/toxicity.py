@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.common import Memo, ragged_append, ragged_gather, store, text_slices
+from pactum.llm.common import SLICE_CHARS, Memo, ragged_append, ragged_gather, store, text_slices
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 12_000
 FEATURES = 4_000
 MIN_DOCS = 4
 MIN_GAP = 1.5  # difference of the classes' log frequencies
@@ -58,10 +58,8 @@ def features(word: str) -> list[str]:
     return [word, *[f"{word[:n]}-" for n in (4, 5) if len(word) > n]]
 
 
-def text_features(text: str, swap: bool = False) -> set[str]:
+def text_features(text: str) -> set[str]:
     words = {normal(w.decode()) for w in set(text.encode().split())}
-    if swap:
-        words = {_NEXT.get(w, w) for w in words}
     return set(chain.from_iterable(map(features, words)))
 
 
@@ -69,6 +67,46 @@ def names_group(text: str) -> bool:
     return any(normal(w.decode()) in _NEXT for w in set(text.encode().split()))
 
 
+class _Columns:
+    """Which of the given features the texts have; columns of words seen before are remembered."""
+
+    def __init__(self, names: list[str], swap: bool = False):
+        self.names, self.swap = {f: i for i, f in enumerate(names)}, swap
+        self.memo = Memo(self._extend, self._clear)
+        self._clear()
+
+    def _clear(self):
+        self.columns, self.offsets = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def _extend(self, words: list[bytes]):
+        plain = (normal(w.decode()) for w in words)
+        if self.swap:
+            plain = (_NEXT.get(w, w) for w in plain)
+        found = [[self.names[f] for f in features(w) if f in self.names] for w in plain]
+        ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
+        flat = np.fromiter(chain.from_iterable(found), np.int64, ends[-1])
+        self.columns, self.offsets = ragged_append(self.columns, self.offsets, flat, ends)
+
+    def pairs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, column), each pair once, in order; texts are read in slices of bounded size."""
+        rows, cols, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        while first < len(texts):
+            last, size = first, 0
+            while last < len(texts) and (last == first or size + len(texts[last]) <= SLICE_CHARS):
+                size += len(texts[last])
+                last += 1
+            split = [t.encode().split() for t in texts[first:last]]
+            codes = self.memo.codes(list(chain.from_iterable(split)))
+            row = np.repeat(np.arange(first, last), [len(w) for w in split])
+            columns, sizes = ragged_gather(self.columns, self.offsets, codes)
+            width = max(1, len(self.names))
+            seen = np.unique(np.repeat(row, sizes) * width + columns)
+            rows.append(seen // width)
+            cols.append(seen % width)
+            first = last
+        return np.concatenate(rows), np.concatenate(cols)
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights of the chosen features; a score is the logistic of their sum over a text."""
@@ -77,32 +115,23 @@ class Model:
     bias: float
 
 
-def choose(sets: list[set[str]], labels: np.ndarray, limit: int = FEATURES) -> list[str]:
-    """Features of enough labelled texts, by how far the classes differ in them."""
-    counts = (Counter(), Counter())
-    for own, label in zip(sets, labels):
-        counts[int(label)].update(own)
+def choose(texts: list[str], labels: np.ndarray, limit: int = FEATURES) -> list[str]:
+    """Features of enough toxic texts, by how far the classes differ in them; group names as well."""
+    seen = Counter()
+    for text, label in zip(texts, labels):
+        if label:
+            seen.update(text_features(text))
+    identity = {f for t in _NEXT for f in features(t)}
+    names = sorted({f for f, n in seen.items() if n >= MIN_DOCS} | identity)
+    rows, cols = _Columns(names).pairs(texts)
+    yes = np.bincount(cols[labels[rows] == 1], minlength=len(names))
+    no = np.bincount(cols[labels[rows] == 0], minlength=len(names))
     total = np.bincount(labels, minlength=2) + 1.0
-    scored = []
-    for name in set(counts[0]) | set(counts[1]):
-        no, yes = counts[0][name], counts[1][name]
-        if no + yes < MIN_DOCS:
-            continue
-        gap = np.log((yes + 0.5) / total[1]) - np.log((no + 0.5) / total[0])
-        if abs(gap) >= MIN_GAP:
-            scored.append((-abs(gap) * np.sqrt(no + yes), name))
-    identity = {f for t in _NEXT for f in features(t)} & (set(counts[0]) | set(counts[1]))
-    best = [name for _, name in sorted(scored)[:limit]]
-    return sorted(set(best) | identity)
-
-
-def _matrix(sets: list[set[str]], column: dict[str, int]):
-    rows, cols = [], []
-    for i, own in enumerate(sets):
-        mine = sorted(column[f] for f in own if f in column)
-        rows += [i] * len(mine)
-        cols += mine
-    return np.array(rows, np.int64), np.array(cols, np.int64)
+    gap = np.log((yes + 0.5) / total[1]) - np.log((no + 0.5) / total[0])
+    weight = np.abs(gap) * np.sqrt(yes + no)
+    best = [i for i in np.argsort(-weight, kind="stable") if abs(gap[i]) >= MIN_GAP][:limit]
+    return sorted({names[i] for i in best} | {
+        f for i, f in enumerate(names) if f in identity and yes[i] + no[i]})
 
 
 def fit(texts: list[str], labels: list[int], penalty: float = PENALTY, ridge: float = 2e-5,
@@ -115,15 +144,12 @@ def fit(texts: list[str], labels: list[int], penalty: float = PENALTY, ridge: fl
     y = np.array(labels, np.int64)
     if not len(y):
         return Model({}, 0.0)
-    sets = [text_features(t) for t in texts]
-    paired = [i for i, t in enumerate(texts) if names_group(t)]
-    swapped = [text_features(texts[i], swap=True) for i in paired]
-    names = choose(sets, y)
-    column = {f: i for i, f in enumerate(names)}
+    names = choose(texts, y)
     k, n = len(names), len(y)
-    rows, cols = _matrix(sets, column)
-    own_rows, own_cols = _matrix([sets[i] for i in paired], column)
-    cf_rows, cf_cols = _matrix(swapped, column)
+    rows, cols = _Columns(names).pairs(texts)
+    paired = [t for t in texts if names_group(t)]
+    own_rows, own_cols = _Columns(names).pairs(paired)
+    cf_rows, cf_cols = _Columns(names, swap=True).pairs(paired)
     m = len(paired)
 
     w, b, vw, vb = np.zeros(k), 0.0, np.zeros(k), 0.0
@@ -152,34 +178,14 @@ def fit(texts: list[str], labels: list[int], penalty: float = PENALTY, ridge: fl
 
 
 class _Scorer:
-    """Feature columns of the words seen so far."""
-
     def __init__(self, model: Model):
-        self.names = {f: i for i, f in enumerate(model.weights)}
+        self.columns = _Columns(list(model.weights))
         self.weights = np.array([*model.weights.values()], float)
         self.bias = model.bias
-        self.memo = Memo(self._extend, self._clear)
-        self._clear()
-
-    def _clear(self):
-        self.columns, self.offsets = np.zeros(0, np.int64), np.zeros(1, np.int64)
-
-    def _extend(self, words: list[bytes]):
-        found = [[self.names[f] for f in features(normal(w.decode())) if f in self.names]
-                 for w in words]
-        ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
-        flat = np.fromiter(chain.from_iterable(found), np.int64, ends[-1])
-        self.columns, self.offsets = ragged_append(self.columns, self.offsets, flat, ends)
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        split = [t.encode().split() for t in texts]
-        codes = self.memo.codes(list(chain.from_iterable(split)))
-        row = np.repeat(np.arange(len(texts)), [len(w) for w in split])
-        columns, sizes = ragged_gather(self.columns, self.offsets, codes)
-        seen = np.unique(np.repeat(row, sizes) * max(1, len(self.weights)) + columns)
-        z = np.bincount(seen // max(1, len(self.weights)),
-                        self.weights[seen % max(1, len(self.weights))] if len(seen) else None,
-                        len(texts)) + self.bias
+        rows, cols = self.columns.pairs(texts)
+        z = self.bias + np.bincount(rows, self.weights[cols], len(texts))
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
@@ -203,7 +209,10 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> Model
     def run(frames):
         import pandas as pd
 
-        whole = pd.concat(list(frames)).sort_values("doc_id")
+        frames = list(frames)
+        if not frames:
+            return
+        whole = pd.concat(frames).sort_values("doc_id")
         model = fit(whole["text"].tolist(), whole["toxic"].tolist())
         names = ["", *model.weights]
         yield pd.DataFrame({"name": names, "weight": [model.bias, *model.weights.values()]})
