@@ -176,6 +176,21 @@ def alerts_summary(alerts: DataFrame) -> DataFrame:
     )
 
 
+def alert_run_summary(alerts: DataFrame, top: int = 5) -> DataFrame:
+    """One row: totals, rates, counts per reason and per failed rule, and the head of the queue.
+
+    Reasons are a fixed set and the head is a top-k, so both lists are bounded.
+    """
+    totals = alerts_summary(alerts)
+    rates = executive_summary(alerts).drop("total_contracts", "ok", "review", "failed")
+    reasons = alerts_by_reason(alerts).agg(F.array_sort(F.collect_list(
+        F.struct("reason", "n"))).alias("by_reason"))
+    head = queue_top(alerts, top).agg(F.array_sort(F.collect_list(F.struct(
+        level_priority(F.col("alert_level")).alias("level"), "conformity_score", KEY))).alias("_head"))
+    rows = totals.crossJoin(rates).crossJoin(reasons).crossJoin(head)  # one row each
+    return rows.withColumn("top_priority", F.transform("_head", lambda a: a[KEY])).drop("_head")
+
+
 def ordered_alerts(alerts: DataFrame) -> DataFrame:
     """Queue order first, then OK alerts by identifier; needs one alert per process."""
     ok = F.col("alert_level") == "OK"

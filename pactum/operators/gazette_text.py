@@ -189,14 +189,18 @@ def consolidate(parsed: DataFrame) -> DataFrame:
 
 
 def publication_warnings(parsed: DataFrame) -> DataFrame:
-    """Distinct warnings per process with the place each first occurs."""
+    """Distinct warnings per process and where each first occurs: document, then place in it.
+
+    Ordered by these two, a process's rows are its warnings in reading order.
+    """
     listed = F.when(
         F.col("skip_reason").isNotNull(), F.array(F.col("skip_warning"))
     ).otherwise(F.col("parsed.warnings"))
     rows = parsed.select(KEY, "document_index", F.posexplode(listed).alias("_at", "warning"))
     return rows.groupBy(KEY, "warning").agg(
         F.min(F.struct("document_index", "_at")).alias("_first")
-    ).select(KEY, "warning", F.col("_first.document_index").alias("first_document"))
+    ).select(KEY, "warning", F.col("_first.document_index").alias("first_document"),
+             F.col("_first._at").alias("first_place"))
 
 
 def prefer_embedded(gazette: DataFrame, embedded: DataFrame) -> DataFrame:

@@ -377,6 +377,21 @@ def alerts_summary(t):
     return A.alerts_summary(t.alerts)
 
 
+@query("alert_run_summary", f"""
+SELECT t.*, r.by_reason, h.top_priority FROM (
+ SELECT count(*) AS total_contracts, count(*) FILTER (alert_level = 'OK') AS ok, count(*) FILTER (alert_level = 'REVIEW') AS review,
+  count(*) FILTER (alert_level NOT IN ('OK', 'REVIEW')) AS failed, count(*) FILTER (alert_level <> 'OK') AS queue_size,
+  {_FAILED}, {_PCT.format('OK', 'ok')}, {_PCT.format('REVIEW', 'review')}, {_PCT.format('FAILED', 'failed')} FROM k_alerts) t,
+ (SELECT string_agg(reason || '=' || n, '|' ORDER BY reason) AS by_reason FROM (
+  SELECT reason, count(*) AS n FROM k_alerts GROUP BY reason) x) r,
+ (SELECT string_agg(processo_id, '|' ORDER BY prio, score, processo_id) AS top_priority FROM (
+  SELECT * FROM k_queue ORDER BY prio, score, processo_id LIMIT 5) y) h""")
+def alert_run_summary(t):
+    reasons = F.transform("by_reason", lambda r: F.concat_ws("=", r["reason"], r["n"]))
+    return A.alert_run_summary(t.alerts).withColumns(
+        {"by_reason": F.array_join(reasons, "|"), "top_priority": F.array_join("top_priority", "|")})
+
+
 _QUEUE = f"""processo_id, alert_level, reason, CAST(score AS DOUBLE) AS conformity_score, {joined_list('failed')} AS failed_rules,
   {joined_list('flags')} AS flags, action, CAST(prio * 1000.0 - score AS DOUBLE) AS priority_score"""
 

@@ -123,14 +123,15 @@ _REASON = "CASE WHEN NOT quality_passes THEN coalesce(nullif(extraction_error, '
 
 
 @query("publication_warnings", f"""
-SELECT processo_id, warning, min(document_index) AS first_document FROM (
- SELECT processo_id, document_index, 'document_' || document_index || '_skipped:' || {_REASON} AS warning FROM k_dated WHERE NOT usable
- UNION ALL SELECT processo_id, document_index, 'missing:publication_date' FROM k_dated WHERE usable AND masthead IS NULL
- UNION ALL SELECT processo_id, document_index, 'missing:signing_date_in_pub' FROM k_dated WHERE usable AND signing_date_in_pub IS NULL
- UNION ALL SELECT processo_id, document_index, 'missing:contratante' FROM k_dated WHERE usable AND coalesce(contratante, '') = ''
- UNION ALL SELECT processo_id, document_index, 'missing:contratada' FROM k_dated WHERE usable AND coalesce(contratada, '') = ''
- UNION ALL SELECT processo_id, document_index, 'publication_date:from_searcher_metadata' FROM k_dated WHERE usable AND masthead IS NULL AND publication_date IS NOT NULL
-) x GROUP BY 1, 2""")
+SELECT processo_id, warning, min(document_index) AS first_document, CAST(arg_min(place, document_index) AS INTEGER) AS first_place FROM (
+ SELECT processo_id, document_index, warning, row_number() OVER (PARTITION BY processo_id, document_index ORDER BY nth) - 1 AS place FROM (
+  SELECT processo_id, document_index, 0 AS nth, 'document_' || document_index || '_skipped:' || {_REASON} AS warning FROM k_dated WHERE NOT usable
+  UNION ALL SELECT processo_id, document_index, 1, 'missing:publication_date' FROM k_dated WHERE usable AND masthead IS NULL
+  UNION ALL SELECT processo_id, document_index, 2, 'missing:signing_date_in_pub' FROM k_dated WHERE usable AND signing_date_in_pub IS NULL
+  UNION ALL SELECT processo_id, document_index, 3, 'missing:contratante' FROM k_dated WHERE usable AND coalesce(contratante, '') = ''
+  UNION ALL SELECT processo_id, document_index, 4, 'missing:contratada' FROM k_dated WHERE usable AND coalesce(contratada, '') = ''
+  UNION ALL SELECT processo_id, document_index, 5, 'publication_date:from_searcher_metadata' FROM k_dated WHERE usable AND masthead IS NULL AND publication_date IS NOT NULL
+ ) w) x GROUP BY 1, 2""")
 def publication_warnings(t):
     return G.publication_warnings(t.parsed_documents)
 

@@ -6,11 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from pactum.operators.alerts import alerts_summary
+from pactum.operators.alerts import alert_export, alerts_summary
 from pactum.operators.runs import new_failures
 from pactum.plans.registry import query
 from pactum.session import checkpoint_dir
-from pactum.sources.stage_store import append_rows, read_stage, write_stage
+from pactum.sources.stage_store import (
+    append_rows, read_stage, write_csv, write_stage, write_summary,
+)
 from pactum.streaming.drift import selector_drift
 from pactum.streaming.failures import failure_rate
 from pactum.streaming.scoring import score_batch
@@ -64,10 +66,17 @@ def sink_stage_tables(t):
 @query("sink_summaries", """
 SELECT count(*) AS total_contracts, count(*) FILTER (alert_level = 'OK') AS ok FROM k_alerts""")
 def sink_summaries(t):
-    summary = alerts_summary(t.alerts).select(F.to_json(F.struct("*")).alias("document"))
-    return summary.select(
-        F.get_json_object("document", "$.total_contracts").cast("bigint").alias("total_contracts"),
-        F.get_json_object("document", "$.ok").cast("bigint").alias("ok"))
+    path = f"{_fresh_folder(t)}/alerts_summary"
+    write_summary(alerts_summary(t.alerts), path)
+    return t.spark.read.schema("total_contracts long, ok long").json(path)
+
+
+@query("sink_alerts_csv", "SELECT processo_id, alert_level, reason FROM k_alerts")
+def sink_alerts_csv(t):
+    path = f"{_fresh_folder(t)}/alerts_csv"
+    write_csv(alert_export(t.alerts), path)
+    stored = t.spark.read.option("header", True).csv(path)
+    return stored.select(KEY, "alert_level", "reason")
 
 
 @query("append_to_list", """
