@@ -139,12 +139,6 @@ def contract_raw_record(t):
 _STRIPPED = f"regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g')"
 
 
-@query("choose_extraction")
-def choose_extraction(t):
-    return R.choose_extraction(t.view("page_candidates")).withColumns(
-        {"text": F.md5("text"), "quality_flags": F.array_join("quality_flags", "|")})
-
-
 @query("text_quality_length", f"""
 SELECT doc_id, length({_STRIPPED}) AS total_chars, length({_STRIPPED}) < 500 AS short FROM documents""")
 def text_quality_length(t):
@@ -153,13 +147,39 @@ def text_quality_length(t):
     return q.select("doc_id", F.col("total_chars").cast("bigint").alias("total_chars"), short.alias("short"))
 
 
-@query("text_quality")
+_KEPT = "length(text) - length(regexp_replace(text, '[ \\n\\r\\t]', '', 'g'))"
+_SEEN = "length(regexp_replace(regexp_replace(text, '[ \\n\\r\\t]', '', 'g'), '[\\p{C}\\p{Z}]', '', 'g'))"
+
+
+def _quality(table: str) -> str:
+    return f"""SELECT *, concat_ws('|', CASE WHEN total_chars < 500 THEN 'low_char_count:' || total_chars || '<500' END,
+  CASE WHEN ratio < 0.7 THEN printf('low_printable_ratio:%.2f<0.7', ratio) END) AS quality_flags FROM (
+  SELECT *, CASE WHEN total_chars > 0 THEN (kept + seen) / size ELSE 0.0 END AS ratio FROM (
+   SELECT *, length({_STRIPPED}) AS total_chars, {_KEPT} AS kept, {_SEEN} AS seen, length(text) AS size FROM {table}) q1) q2"""
+
+
+@query("text_quality", f"""
+SELECT doc_id, CAST(total_chars AS INTEGER) AS total_chars, round(ratio, 3) AS printable_ratio, quality_flags = '' AS quality_passes, quality_flags
+FROM ({_quality('documents')}) x""")
 def text_quality(t):
     return R.with_quality(t.base("documents"), "text").select(
         "doc_id", "total_chars", "printable_ratio", "quality_passes",
         F.array_join("quality_flags", "|").alias("quality_flags"))
 
 
+@query("choose_extraction", f"""
+SELECT d.doc_id, u.source IS NOT NULL AS success, coalesce(u.source, 'failed') AS source, md5(coalesce(u.text, '')) AS text,
+  CAST(coalesce(u.total_chars, 0) AS INTEGER) AS total_chars, coalesce(u.quality_flags = '', false) AS quality_passes,
+  coalesce(u.quality_flags, '') AS quality_flags
+FROM (SELECT DISTINCT doc_id FROM page_candidates) d LEFT JOIN (
+ SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY source = 'ocr_columns') AS nth
+ FROM ({_quality('page_candidates')}) x WHERE text IS NOT NULL AND (source = 'ocr_columns' OR quality_flags = '')) u
+ON u.doc_id = d.doc_id AND u.nth = 1""")
+def choose_extraction(t):
+    return R.choose_extraction(t.view("page_candidates")).withColumns(
+        {"text": F.md5("text"), "quality_flags": F.array_join("quality_flags", "|")})
+
+
 @query("word_count", f"SELECT doc_id, len(regexp_extract_all(text, '{_NWS}+')) AS words FROM documents")
 def q_word_count(t):
     return t.base("documents").select("doc_id", word_count(F.col("text")).cast("bigint").alias("words"))
