@@ -24,12 +24,14 @@ def prose_date(text: Column, pattern: str, unknown_month: str | None) -> Column:
     """A ``day … month-name … year`` match as ``dd/mm/yyyy``.
 
     An unknown month name gives ``unknown_month``, or null when that is None.
+    The text is searched once; the parts come from the short match.
     """
-    day = grab(text, pattern, 1, "i")
-    month = month_number(grab(text, pattern, 2, "i"))
+    match = grab(text, pattern, 0, "i")
+    day = grab(match, pattern, 1, "i")
+    month = month_number(grab(match, pattern, 2, "i"))
     if unknown_month is not None:
         month = F.coalesce(month, F.lit(unknown_month))
-    year = grab(text, pattern, 3, "i")
+    year = grab(match, pattern, 3, "i")
     return F.concat(F.lpad(day, 2, "0"), F.lit("/"), month, F.lit("/"), year)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pactum import constants as K
-from pactum.functions.text import grab, has, inline, jre, literal_pattern, text_or_blank
+from pactum.functions.text import grab, has, jre, literal_pattern, text_or_blank
 
 
 def classify_content(snippet: Column, pid: Column) -> Column:
@@ -33,8 +33,9 @@ def publication_metadata(text: Column) -> Column:
 
 def edition_number(text: Column) -> Column:
     """Edition near the first masthead; without a masthead there is none."""
-    ahead = rf"(?s)((?={inline(K.MASTHEAD_DATE, 'i')}).{{0,{K.EDITION_ZONE_CHARS}}})"
-    zone = F.regexp_extract(text, ahead, 1)
+    masthead = grab(text, K.MASTHEAD_DATE, 0, "i")
+    # The first place of the matched words is the first match itself.
+    zone = F.substr(text, F.instr(text, masthead), F.lit(K.EDITION_ZONE_CHARS))
     return F.coalesce(grab(zone, K.EDITION, 1), grab(zone, K.EDITION, 2))
 
 
