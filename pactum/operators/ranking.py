@@ -50,11 +50,11 @@ def pick_last(df: DataFrame, keys: list[str], order: Column, *extra: Column) ->
 def last_per_process(df: DataFrame, key: str = "processo_id", order: str = "written_at") -> DataFrame:
     """The last row of each process by ``order``; rows without one are ranked by their content.
 
-    Content decides ties as well, so the result does not depend on row order.
+    A hash of the content decides ties as well, so the result does not depend on row order.
     """
     rest = [c for c in df.columns if c != key]
     content = F.to_json(F.struct(*[F.col(c) for c in rest]))
-    rank = F.struct(*[F.col(order)] if order in df.columns else [], F.xxhash64(content), content)
+    rank = F.struct(*[F.col(order)] if order in df.columns else [], F.xxhash64(content))
     return pick_last(df, [key], rank).select(*df.columns)
 
 
