@@ -50,16 +50,17 @@ def _cut(batch, column, first, last):
 class Memo:
     """Codes of units, and arrays with one value per code, kept from slice to slice.
 
-    ``extend`` gets the new units, in the order of their codes. Beyond ``KEEP``
+    ``extend`` gets the new units, in the order of their codes. Beyond ``keep``
     units all are forgotten and counted anew, which bounds the memory and
     changes no result.
     """
 
     KEEP = 700_000
 
-    def __init__(self, extend: Callable[[list], None], clear: Callable[[], None]):
+    def __init__(self, extend: Callable[[list], None], clear: Callable[[], None],
+                 keep: int | None = None):
         self.code: dict[Hashable, int] = {}
-        self.extend, self.clear = extend, clear
+        self.extend, self.clear, self.keep = extend, clear, keep or self.KEEP
 
     def codes(self, units: list) -> np.ndarray:
         found = np.fromiter(map(self.code.get, units, repeat(-1)), np.int64, len(units))
@@ -67,7 +68,7 @@ class Memo:
         if not len(missing):
             return found
         new = list(dict.fromkeys(map(units.__getitem__, missing.tolist())))
-        if self.code and len(self.code) + len(new) > self.KEEP:
+        if self.code and len(self.code) + len(new) > self.keep:
             self.code.clear()
             self.clear()
             return self.codes(units)

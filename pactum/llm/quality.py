@@ -24,6 +24,8 @@ from pactum.llm.common import Memo, ragged_append, ragged_gather, text_slices
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
+#: Memory of a worker: words remembered, and characters of text handled at once.
+KEEP_WORDS, SLICE_CHARS = 300_000, 2_000_000
 
 #: First code point of each script block, in ascending order; what lies between counts as "other".
 SCRIPTS = [
@@ -109,7 +111,7 @@ class _Words:
 
     def __init__(self, paths):
         self.pieces, self.plain, self.fallback = _load(paths)
-        self.memo = Memo(self._extend, self._clear)
+        self.memo = Memo(self._extend, self._clear, KEEP_WORDS)
         self._clear()
 
     def _clear(self):
@@ -130,11 +132,6 @@ class _Words:
         self.scripts = np.append(self.scripts, script.astype(np.int8))
 
 
-@lru_cache(maxsize=1)
-def _words(paths) -> _Words:
-    return _Words(paths)
-
-
 def repeated_words(codes: np.ndarray, size: int) -> int:
     """Words that lie in a 3-word window found twice or more."""
     if len(codes) < 4:
@@ -222,8 +219,8 @@ def quality(
               "double": pa.float64()}[t] for _, t in measures]
 
     def run(batches):
-        words = _words(paths)
-        for part, texts in text_slices(batches, "_text"):
+        words = _Words(paths)  # of this task alone: an idle worker holds no words
+        for part, texts in text_slices(batches, "_text", SLICE_CHARS):
             rows = _measure(texts, part.column("_lang").to_pylist(), words, bands)
             found = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
             yield pa.RecordBatch.from_arrays(

@@ -106,12 +106,12 @@ def test_encoding_equals_the_library(spark, sf_dir):
             want.ids, skip_special_tokens=False)
 
 
-def test_encoder_forgets_without_changing_results(monkeypatch):
+def test_encoder_forgets_without_changing_results():
     encoder = bpe.Encoder(bpe.default_vocabulary())
     texts = [f"word{i} again word{i + 1} and more" for i in range(200)]
     whole, ends = encoder.encode(texts)
     small = bpe.Encoder(bpe.default_vocabulary())
-    monkeypatch.setattr(type(small.memo), "KEEP", 50)
+    small.memo.keep = 50
     for i, text in enumerate(texts):
         assert small.encode([text])[0].tolist() == whole[ends[i]:ends[i + 1]].tolist()
 
