@@ -165,34 +165,36 @@ def _candidates(found: DataFrame, threshold: float) -> DataFrame:
         "term", "n_both", "n_entity", "total")
 
 
-def _mentions(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
-    """(key, term, places) of the given terms in every text, once per distinct text.
+def _hits(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """(_text, term): words of each text that may be among the terms.
 
-    Each task drops words that the bit array excludes; the exact join sees what
-    is left. The array has a fixed size, so its broadcast is bounded.
+    Each task drops the words that a bit array of fixed size excludes, so the
+    exact join that follows sees few others.
     """
-    body = docs.select(_body(text).alias("_text")).crossJoin(F.broadcast(
-        membership(terms, F.xxhash64("term"))))
+    bits = F.broadcast(membership(terms, F.xxhash64("term")))
     words = F.array_distinct(F.transform(F.split("_text", _BREAK), F.lower))
     likely = F.filter(words, lambda w: may_hold(F.col("bits"), F.xxhash64(w)))
-    hits = body.select("_text", F.explode(likely).alias("term"))
-    exact = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])\Q"), F.col("term"), F.lit(r"\E(?![\p{L}\p{N}])"))
-    placed = hits.select(*_keys(F.col("_text")), "term", F.transform(
-        _places(F.col("_text"), exact), lambda s: F.struct(s["start"], s["end"])).alias("places"))
-    return placed.join(terms.select("term").distinct(), "term").groupBy(*KEY, "term").agg(
-        F.first("places").alias("places"))
+    return docs.select(_body(text).alias("_text")).crossJoin(bits).select(
+        "_text", F.explode(likely).alias("term"))
 
 
 def term_spans(docs: DataFrame, found: DataFrame, text: str = "text",
                threshold: float = THRESHOLD) -> DataFrame:
-    """(k1, k2, terms): places of disclosing terms in each text that has any."""
+    """(k1, k2, terms): places of disclosing terms in each text that has any.
+
+    The candidates' texts are counted first; only terms that then reach the
+    threshold are located.
+    """
     candidates = store(_candidates(found, threshold), "candidates")
-    mentions = store(_mentions(docs, text, candidates), "mentions")
-    counts = mentions.groupBy("term").agg(F.count("*").alias("n_term"))
-    telling = candidates.join(counts, "term").where(_disclosure("n_term") >= threshold).select(
-        "term").distinct()
-    return mentions.join(telling, "term").groupBy(*KEY).agg(
-        F.flatten(F.collect_list("places")).alias("terms"))
+    seen = _hits(docs, text, candidates).select(*_keys(F.col("_text")), "term").distinct()
+    counts = seen.groupBy("term").agg(F.count("*").alias("n_term"))
+    telling = store(candidates.join(counts, "term").where(_disclosure("n_term") >= threshold).select(
+        "term").distinct(), "telling")
+    exact = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])\Q"), F.col("term"), F.lit(r"\E(?![\p{L}\p{N}])"))
+    placed = _hits(docs, text, telling).select(*_keys(F.col("_text")), "term", F.transform(
+        _places(F.col("_text"), exact), lambda s: F.struct(s["start"], s["end"])).alias("places"))
+    single = placed.join(telling, "term").groupBy(*KEY, "term").agg(F.first("places").alias("places"))
+    return single.groupBy(*KEY).agg(F.flatten(F.collect_list("places")).alias("terms"))
 
 
 def _all_spans() -> Column:
