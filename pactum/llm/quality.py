@@ -25,7 +25,7 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 #: Memory of a worker: words remembered, and characters of text handled at once.
-KEEP_WORDS, SLICE_CHARS = 300_000, 2_000_000
+KEEP_WORDS, SLICE_CHARS = 150_000, 1_000_000
 
 #: First code point of each script block, in ascending order; what lies between counts as "other".
 SCRIPTS = [
