@@ -5,12 +5,14 @@ start. The tree has a level for the token count and one for each of the first
 three tokens. In a leaf, a token that is frequent at its position is constant,
 any other is a variable field. A line whose share of constants reaches the
 similarity bound belongs to the template of its constants. A template that
-stands in enough different surroundings, and in more than one document, is
-boilerplate: its lines are dropped everywhere but in the first document.
-
-Surroundings are the first words of the line before, so copies of whole
-documents do not turn every line of theirs into boilerplate; they are left to
-document deduplication. Everything runs on built-in column functions, and no
+stands in enough different texts or surroundings, and in more than one
+document, is boilerplate: its lines are dropped everywhere but in the first
+document.
+
+Texts are told apart by a hash, so exact copies of whole documents do not turn
+every line of theirs into boilerplate; they are left to document deduplication.
+Surroundings are the first words of the line before; they count a template that
+recurs within few texts. Everything runs on built-in column functions, and no
 group is ever collected: templates are told apart by order-free hashes.
 """
 
@@ -23,7 +25,7 @@ from pactum.llm.common import may_hold, membership, store
 
 DEPTH = 3  # leading tokens on the way to a leaf
 MIN_TOKENS = 3
-MIN_PLACES = 5  # surroundings in which a template must stand
+MIN_PLACES = 5  # different texts or surroundings in which a template must stand
 SIMILARITY = 0.8  # share of constant tokens
 VARIABLE = "<*>"
 
@@ -68,10 +70,14 @@ def _crowded(docs: DataFrame) -> DataFrame:
     return store(hashed.join(leaves, "leaf", "left_semi"), "crowded")
 
 
+def _recurrence() -> Column:
+    """Different texts or different surroundings of a group, whichever are more."""
+    return F.greatest(F.count_distinct("tie"), F.count_distinct("place"))
+
+
 def _templates(crowded: DataFrame) -> DataFrame:
     """(h1, h2, template columns): the template of each different line that has one."""
-    places = crowded.select(*LINE, "place").distinct().groupBy(*LINE).agg(
-        F.count("*").alias("weight"))
+    places = crowded.groupBy(*LINE).agg(_recurrence().alias("weight"))
     different = crowded.groupBy(*LINE).agg(F.first("leaf").alias("leaf"), F.first("line").alias("line"))
     tokens = store(
         different.join(places, LINE).select(
@@ -93,10 +99,9 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
     crowded = _crowded(docs)
     slim = crowded.select("doc_id", "tie", "pos", "place", *LINE)
     of_line = store(_templates(crowded), "templates")
-    recurring = slim.select("doc_id", "place", *LINE).join(of_line, LINE).groupBy(
-        *TEMPLATE, "place").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).groupBy(
-        *TEMPLATE).agg(F.count("*").alias("places"), F.min("lo").alias("first"),
-                       F.max("hi").alias("last")).where(
+    recurring = slim.select("doc_id", "tie", "place", *LINE).join(of_line, LINE).groupBy(
+        *TEMPLATE).agg(_recurrence().alias("places"), F.min("doc_id").alias("first"),
+                       F.max("doc_id").alias("last")).where(
         (F.col("places") >= MIN_PLACES) & (F.col("first") != F.col("last")))
     named = of_line.join(recurring.select(*TEMPLATE, "first"), TEMPLATE).select(*LINE, "first")
     return slim.join(named, LINE).where(~F.col("doc_id").eqNullSafe(F.col("first"))).select(
@@ -108,7 +113,7 @@ def drop_lines(docs: DataFrame) -> DataFrame:
 
     Rows that share an id count as one document, and the document with the
     lowest id keeps its lines of a template. Rows with a null id count towards
-    a template's places, but never as its first document. A null text stays
+    a template's texts and places, but never as its first document. A null text stays
     null and has no line; a text whose lines are all dropped becomes empty, its
     row stays. Lines of fewer than three tokens are always kept. Repeated rows
     are treated alike. Other columns pass through, also ones named like helper

@@ -104,6 +104,20 @@ def test_line_drop_of_edge_rows(spark):
     assert {r.doc_id for r in kept} <= {3, None}
 
 
+def test_lines_after_a_constant_line_recur(spark):
+    rng = random.Random(3)
+    prose = lambda: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(9))
+    header, footer = "News of the harbour", "Printed by the press\nAt the old market place\nNo part may be copied"
+    docs = [(i, f"{header}\n{prose()}\n\nParted by blank lines\n\n{prose()}\n{footer}") for i in range(9)]
+    copy = "\n".join(prose() for _ in range(4))
+    got = {r.doc_id: r.text for r in line_dedup.drop_lines(
+        frame(spark, docs + [(20 + k, copy) for k in range(9)])).collect()}
+    assert got[0] == docs[0][1] and got[25] == copy
+    for i in range(1, 9):
+        lines = docs[i][1].split("\n")
+        assert got[i].split("\n") == [lines[1], "", "", lines[5]]
+
+
 # -- near-duplicates -------------------------------------------------------------------------
 def word_sets(docs, width):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
