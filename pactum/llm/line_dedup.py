@@ -3,8 +3,11 @@
 A line is a row of tokens; tokens with a digit are a variable field from the
 start. The tree has a level for the token count and one for each of the first
 three tokens. In a leaf, a token that is frequent at its position is constant,
-any other is a variable field. A line whose share of constants reaches the
-similarity bound belongs to the template of its constants. A template that
+any other is a variable field. Frequent means a share of the leaf: the largest
+of a few shares at which the line's constants reach the similarity bound, so
+common values of a field do not split a template, whatever the input's size,
+and a template that is rare in its leaf is still one. The line belongs to the
+template of its constants. A template that
 stands in enough different texts or surroundings, and in more than one
 document, is boilerplate: its lines are dropped everywhere but in the first
 document.
@@ -27,10 +30,11 @@ DEPTH = 3  # leading tokens on the way to a leaf
 MIN_TOKENS = 3
 MIN_PLACES = 5  # different texts or surroundings in which a template must stand
 SIMILARITY = 0.8  # share of constant tokens
+SHARES = [0.0, 1 / 128, 1 / 32, 1 / 8, 1 / 2]  # of a leaf, held by a constant; MIN_PLACES at least
 VARIABLE = "<*>"
 
 LINE = ["h1", "h2"]
-TEMPLATE = ["leaf", "t1", "t2", "constants"]
+TEMPLATE = ["leaf", "level", "t1", "t2", "constants"]
 
 
 def _body() -> Column:
@@ -83,15 +87,28 @@ def _templates(crowded: DataFrame) -> DataFrame:
         different.join(places, LINE).select(
             *LINE, "leaf", "weight", F.posexplode(F.split("line", " ")).alias("pos", "token")),
         "tokens")
-    constant = tokens.groupBy("leaf", "pos", "token").agg(F.sum("weight").alias("n")).where(
-        F.col("n") >= MIN_PLACES).select("leaf", "pos", "token", F.lit(True).alias("is"))
+    counts = tokens.groupBy("leaf", "pos", "token").agg(F.sum("weight").alias("n"))
+    whole = tokens.where("pos = 0").groupBy("leaf").agg(F.sum("weight").alias("whole"))
+    constant = counts.where(F.col("n") >= MIN_PLACES).join(whole, "leaf").select(
+        "leaf", "pos", "token", sum((F.col("n") >= share * F.col("whole")).cast("int")
+                                    for share in SHARES).alias("levels"))
     marked = tokens.join(constant, ["leaf", "pos", "token"], "left")
-    kept = lambda c: F.when(F.col("is"), c)
-    return marked.groupBy(*LINE, "leaf").agg(
-        F.coalesce(F.bit_xor(kept(F.xxhash64("pos", "token"))), F.lit(0)).alias("t1"),
-        F.coalesce(F.bit_xor(kept(F.xxhash64("token", "pos"))), F.lit(0)).alias("t2"),
-        F.count(kept(F.lit(1))).alias("constants"), F.count("*").alias("tokens"),
-    ).where(F.col("constants") >= SIMILARITY * F.col("tokens")).select(*LINE, *TEMPLATE)
+
+    def at(level: int) -> Column:
+        kept = lambda c: F.when(F.col("levels") > level, c)
+        return F.struct(
+            F.lit(level).alias("level"),
+            F.coalesce(F.bit_xor(kept(F.xxhash64("pos", "token"))), F.lit(0)).alias("t1"),
+            F.coalesce(F.bit_xor(kept(F.xxhash64("token", "pos"))), F.lit(0)).alias("t2"),
+            F.count(kept(F.lit(1))).alias("constants"))
+
+    # A template of a larger share holds those of smaller ones, so the first that suffices decides.
+    by_level = marked.groupBy(*LINE, "leaf").agg(
+        *[at(i).alias(f"at{i}") for i in range(len(SHARES))], F.count("*").alias("tokens"))
+    suffices = lambda i: F.col(f"at{i}.constants") >= SIMILARITY * F.col("tokens")
+    chosen = F.coalesce(*[F.when(suffices(i), F.col(f"at{i}")) for i in reversed(range(len(SHARES)))])
+    return by_level.select(*LINE, "leaf", chosen.alias("own")).where("own is not null").select(
+        *LINE, "leaf", "own.*")
 
 
 def recurring_lines(docs: DataFrame) -> DataFrame:

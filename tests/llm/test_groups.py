@@ -118,6 +118,21 @@ def test_lines_after_a_constant_line_recur(spark):
         assert got[i].split("\n") == [lines[1], "", "", lines[5]]
 
 
+def test_common_values_of_fields_do_not_split_a_template(spark):
+    words = "river stone market letter garden window summer bread copper harbour".split()
+    rng = random.Random(8)
+    prose = lambda: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(9))
+    one = lambda: f"Posted here by {rng.choice(words)} on day 7 of the year, all rights kept"
+    two = lambda: (f"Shared by the user {rng.choice(words)} from {rng.choice(words)} with all "
+                   "of you on the pages of this site")
+    docs = [(i, f"{prose()}\n{one()}\n{prose()}\n{two()}") for i in range(120)]
+    got = {r.doc_id: r.text.split("\n") for r in line_dedup.drop_lines(frame(spark, docs)).collect()}
+    assert "\n".join(got[0]) == docs[0][1]
+    for i in range(1, 120):
+        lines = docs[i][1].split("\n")
+        assert got[i] == [lines[0], lines[2]]
+
+
 # -- near-duplicates -------------------------------------------------------------------------
 def word_sets(docs, width):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
