@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pactum.llm.common import may_hold, membership, store
 
 DEPTH = 3  # leading tokens on the way to a leaf
-MIN_TOKENS = 3
+MIN_TOKENS = 1
 MIN_PLACES = 5  # different texts or surroundings in which a template must stand
 SIMILARITY = 0.8  # share of constant tokens
 SHARES = [0.0, 1 / 128, 1 / 32, 1 / 8, 1 / 2]  # of a leaf, held by a constant; MIN_PLACES at least
@@ -48,7 +48,11 @@ def _masked(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line that is long enough: (doc_id, tie, pos, line, place, leaf)."""
+    """One row per line with a word: (doc_id, tie, pos, line, place, leaf).
+
+    Blank lines and one or two variable fields alone (numbers in a column) are no
+    template.
+    """
     lines = docs.select("doc_id", _body().alias("body")).select(
         "doc_id", F.xxhash64("body").alias("tie"), F.split("body", "\n").alias("lines"))
     with_before = lines.select("doc_id", "tie", F.posexplode(F.transform(
@@ -59,7 +63,8 @@ def _lines(docs: DataFrame) -> DataFrame:
         "doc_id", "tie", "pos", _masked(F.col("at.line")).alias("line"),
         F.xxhash64("at.before").alias("place"))
     blanks = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
-    return one.withColumn("tokens", blanks + 1).where(F.col("tokens") >= MIN_TOKENS).withColumn(
+    fields = F.col("line").isin("", VARIABLE, f"{VARIABLE} {VARIABLE}")
+    return one.withColumn("tokens", blanks + 1).where((F.col("tokens") >= MIN_TOKENS) & ~fields).withColumn(
         "leaf", F.xxhash64("tokens", F.substring_index("line", " ", DEPTH))).drop("tokens")
 
 
@@ -132,8 +137,8 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     lowest id keeps its lines of a template. Rows with a null id count towards
     a template's texts and places, but never as its first document. A null text stays
     null and has no line; a text whose lines are all dropped becomes empty, its
-    row stays. Lines of fewer than three tokens are always kept. Repeated rows
-    are treated alike. Other columns pass through, also ones named like helper
+    row stays. Blank lines, and lines that are only one or two variable fields,
+    are always kept. Repeated rows are treated alike. Other columns pass through, also ones named like helper
     columns; ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
     drops = recurring_lines(docs).groupBy("doc_id", "tie").agg(F.collect_set("pos").alias("gone"))

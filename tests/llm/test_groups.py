@@ -133,6 +133,17 @@ def test_common_values_of_fields_do_not_split_a_template(spark):
         assert got[i] == [lines[0], lines[2]]
 
 
+def test_short_lines_recur(spark):
+    rng = random.Random(6)
+    prose = lambda: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(9))
+    docs = [(i, f"{prose()}\nRead more\n{prose()}\n\n{i} 20\n17\nShare\nPage {i}") for i in range(8)]
+    got = {r.doc_id: r.text.split("\n") for r in line_dedup.drop_lines(frame(spark, docs)).collect()}
+    assert "\n".join(got[0]) == docs[0][1]
+    for i in range(1, 8):
+        lines = docs[i][1].split("\n")
+        assert got[i] == [lines[0], *lines[2:6]]
+
+
 # -- near-duplicates -------------------------------------------------------------------------
 def word_sets(docs, width):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
