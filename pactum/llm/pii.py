@@ -26,7 +26,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){12,}+",  # shorter runs of digits are no cards
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"  # of a part that has a digit
 TERM = r"[\p{L}\p{N}]+"
 _BREAK = r"[^\p{L}\p{N}]+"
 

@@ -172,6 +172,16 @@ def test_base_spans_equal_plain_patterns(spark, sf_dir):
         assert got[i].spans.startswith(want)
 
 
+def test_addresses_with_zero_parts(spark):
+    text = "10.0.0.1 127.0.0.1 192.168.00.5 0.0.0.0 000.1.2.030 010.256.0.1 1.2.3.000256 8.8.8.8"
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = pii.personal_data(rows).head()
+    want = ",".join(plain_spans(text))
+    assert got.n_ip == 6 and got.spans == want
+    assert got.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    assert pii.redact(rows).head().text == "[IP] [IP] [IP] [IP] [IP] 010.256.0.1 1.2.3.000256 [IP]"
+
+
 def disclosure_docs():
     rng = random.Random(1)
     common = ["river", "stone", "market", "letter", "garden", "window", "summer", "bread"]
