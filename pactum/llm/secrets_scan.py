@@ -28,8 +28,8 @@ BESIDE = 40  # characters of text looked at on either side
 _RUN = "A-Za-z0-9+/_~-"
 _NAME = r"(?:passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|credential)"
 LONG = rf"(?<![{_RUN}])(?=[A-Za-z+/_~-]*+[0-9])[{_RUN}]{{12,}}+={{0,2}}"
-ASSIGNED = rf"(?i)(?<![a-z]){_NAME}[\"']?[\x20\t]?[:=][\x20\t]?[\"']?[^\s\"']{{6,200}}"
-_VALUE = r"(?i)[\"']?[\x20\t]?[:=][\x20\t]?[\"']?([^\s\"']{6,200})\z"
+ASSIGNED = rf"(?i)(?<![a-z]){_NAME}[\"']?[\x20\t]?[:=][\x20\t]?[\"']?[^\s\"']{{6,}}+"
+_VALUE = r"(?i)[\"']?[\x20\t]?[:=][\x20\t]?[\"']?([^\s\"']{6,}+)\z"
 PLACEHOLDERS = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test|<|\$\{"
 
 _SPAN = "array<struct<start:int,end:int,value:string>>"

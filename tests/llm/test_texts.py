@@ -315,6 +315,18 @@ def test_secrets_of_edge_rows(spark):
     assert [(r.start, r.end, r.secret) for r in got] == [(9, 18, True)] * 2
 
 
+def test_long_assigned_values_are_whole(spark):
+    rng = random.Random(7)
+    value = "".join(rng.choices("abcdefghijABCDEFGHIJ0123456789", k=600))
+    texts = [f"see token={value} for more", f"see token='{value[:90]}.{value}.{value[:200]}' for more"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets_scan.candidates(rows).collect()}
+    assert secrets_scan.candidates(rows).count() == 2
+    assert got[0].value == value and texts[0][got[0].start:got[0].end] == value
+    assert got[0].after == " for more"
+    assert len(got[1].value) == 892 and got[1].after == "' for more"
+
+
 # -- toxicity --------------------------------------------------------------------------------
 def labelled_texts():
     rng = random.Random(2)
