@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm import bpe, common, line_dedup, minhash, order_minhash, packing, pii, quality, secrets_scan, toxicity, url_filter
+from pactum.llm import (
+    bpe, checks, common, conversation_repair, line_dedup, minhash, order_minhash, packing, pii, quality,
+    secrets_scan, toxicity, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -75,3 +78,11 @@ def op8_best_fit(spark, sf_dir):
 @query
 def op4_secret_forest(spark, sf_dir):
     return secrets_scan.scan(common.documents(spark, sf_dir))
+
+
+@query
+def op12_structure_repair(spark, sf_dir):
+    return conversation_repair.report(common.documents(spark, sf_dir, "conversations"))
+
+
+CHECKS["op12_structure_repair"] = checks.STRUCTURE_REPAIR
