@@ -85,3 +85,59 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counted k ON k.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS gram
+  FROM words, range(1, 6) AS r(k)),
+counts AS (SELECT lang, k, gram, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT * FROM counts WHERE k > 1 AND f >= 100),
+kept AS (
+  SELECT * FROM often s WHERE NOT EXISTS (
+    SELECT 1 FROM often b WHERE b.lang = s.lang AND b.k > s.k AND 100 * b.f >= 100 * s.f
+      AND contains(' ' || b.gram || ' ', ' ' || s.gram || ' '))),
+cuts AS (
+  SELECT lang, gram AS phrase, f AS a, c.cut, array_to_string(string_split(gram, ' ')[:c.cut], ' ') AS front,
+    array_to_string(string_split(gram, ' ')[c.cut + 1:], ' ') AS back
+  FROM kept, range(1, 5) AS c(cut) WHERE c.cut < k),
+scored AS (
+  SELECT c.lang, phrase, a, x.f AS l, y.f AS r, n, cut,
+    CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.gram = front
+  JOIN counts y ON y.lang = c.lang AND y.gram = back JOIN totals t ON t.lang = c.lang),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score FROM best
+QUALIFY rank <= 2000
+"""
+
+GROUPED_PREFIX = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS gram FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * c >= 90 * (p.n + q.n - c)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(r.b) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reached r ON r.a = d.doc_id
+GROUP BY d.doc_id, n
+"""

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactum.llm import (
-    bpe, checks, common, conversation_repair, line_dedup, minhash, order_minhash, packing, pii, quality,
+    bpe, checks, common, conversation_repair, line_dedup, minhash, ngram_join,
+    order_minhash, packing, phrases, pii, quality,
     secrets_scan, toxicity, url_filter,
 )
 
@@ -86,3 +87,19 @@ def op12_structure_repair(spark, sf_dir):
 
 
 CHECKS["op12_structure_repair"] = checks.STRUCTURE_REPAIR
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(common.documents(spark, sf_dir))
+
+
+CHECKS["op11_collocations"] = checks.COLLOCATIONS
+
+
+@query
+def op13_grouped_prefix(spark, sf_dir):
+    return ngram_join.similar_groups(common.documents(spark, sf_dir), width=3, percent=90)
+
+
+CHECKS["op13_grouped_prefix"] = checks.GROUPED_PREFIX
