@@ -210,8 +210,9 @@ def _chunks(coded: DataFrame) -> DataFrame:
 
 
 def _joined(spans: DataFrame) -> DataFrame:
-    """Neighbouring spans of a conversation, at most 256 at once, as one."""
-    group = spans.groupBy("conv_id", F.shiftright("span", FAN_BITS).alias("span")).agg(
+    """Neighbouring spans of a conversation of ``count`` spans, at most 256 at once, as one."""
+    higher = F.when(F.col("count") <= 1 << FAN_BITS, 0).otherwise(F.shiftright("span", FAN_BITS))
+    group = spans.groupBy("conv_id", higher.cast("long").alias("span")).agg(
         F.sort_array(F.collect_list(F.struct("span", "first", "last", "illegal", "cells"))).alias("parts"))
 
     def run(batches):
@@ -229,11 +230,17 @@ def _joined(spans: DataFrame) -> DataFrame:
 
 def _parsed(coded: DataFrame) -> DataFrame:
     """One row per conversation: illegal, cost, audit, and which part of it edits which chunk."""
-    spans = store(_chunks(coded), "spans")
-    for _ in range(64 // FAN_BITS):
-        if not spans.groupBy("conv_id").count().where("count > 1").take(1):
+    spans, whole = store(_chunks(coded), "spans"), []
+    while True:
+        counts = spans.groupBy(F.col("conv_id").alias("key")).count().where("count > 1")
+        many = store(counts, "conversations_in_spans")
+        if not many.take(1):
             break
-        spans = store(_joined(spans), "spans")
+        own = F.col("conv_id").eqNullSafe(F.col("key"))
+        whole.append(spans.join(many, own, "left_anti"))
+        spans = store(_joined(spans.join(many, own)), "spans")
+    for part in whole:
+        spans = spans.unionByName(part)
 
     ends = F.filter("cells", lambda c: (c["p"] == START) & c["q"].isin(*ENDS))
     best = F.array_min(F.transform(ends, lambda c: F.struct(c["cost"], c["audit"], c["path"])))
