@@ -10,12 +10,13 @@ from pactum.operators.alerts import alert_export, alerts_summary
 from pactum.operators.runs import new_failures
 from pactum.plans.registry import query
 from pactum.session import checkpoint_dir
+from pactum.sources.snapshots import Snapshots
 from pactum.sources.stage_store import (
     append_rows, read_stage, write_csv, write_stage, write_summary,
 )
-from pactum.streaming.drift import selector_drift
+from pactum.streaming.drift import read_drifts, selector_drift, start_drift
 from pactum.streaming.failures import failure_rate
-from pactum.streaming.scoring import score_batch
+from pactum.streaming.scoring import ALERTS, publish_inputs, start_scoring
 
 KEY = "processo_id"
 
@@ -27,8 +28,21 @@ def _fresh_folder(t) -> str:
 @query("incremental_scoring", """
 SELECT a.processo_id, a.alert_level, a.reason, CAST(a.score AS DOUBLE) AS conformity_score FROM k_alerts a WHERE a.pub""")
 def incremental_scoring(t):
-    scored = score_batch(t.publications, t.contracts, t.raw_texts, t.answers)
-    return scored.select(KEY, "alert_level", "reason", "conformity_score")
+    """Three arrivals, each followed by a run of the stream from its checkpoint. Undated drafts of the
+    last arrival's publications come with the first one and are replaced."""
+    root = _fresh_folder(t)
+    snapshots = Snapshots(t.spark, f"{root}/tables", 16)
+    publish_inputs(snapshots, t.contracts, t.raw_texts, t.answers)
+    turn = F.pmod(F.xxhash64(KEY), F.lit(3))
+    rows = t.publications
+    draft = rows.where(turn == 2).withColumns(
+        {c: F.lit(None).cast("string") for c in ("publication_date", "contract_number", "value")})
+    arrivals = [rows.where(turn == 0).unionByName(draft), rows.where(turn == 1), rows.where(turn == 2)]
+    for arrived in arrivals:
+        arrived.write.mode("append").parquet(f"{root}/publications")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/publications")
+        start_scoring(stream, snapshots, f"{root}/progress").awaitTermination()
+    return snapshots.read(ALERTS).select(KEY, "alert_level", "reason", "conformity_score")
 
 
 @query("failure_rate_stream", """
@@ -46,14 +60,41 @@ def _probes(t):
                      lambda _, v: v.isNotNull()).alias("selectors"))
 
 
-@query("selector_drift")
+#: The walk along each timeline, probe by probe.
+_DRIFT = """
+SELECT portal, seq, changed <> '' AS drifted, changed FROM (WITH RECURSIVE
+ p AS (SELECT portal, seq, search_form AS f, results_table AS r, pdf_link AS l,
+   row_number() OVER (PARTITION BY portal ORDER BY ts, seq) AS rn FROM probes),
+ walk AS (
+   SELECT portal, rn, seq, f, r, l, '' AS changed FROM p WHERE rn = 1
+   UNION ALL
+   SELECT portal, rn, seq, CASE WHEN changed <> '' THEN nf ELSE f END, CASE WHEN changed <> '' THEN nr ELSE r END,
+     CASE WHEN changed <> '' THEN nl ELSE l END, changed
+   FROM (SELECT w.portal, p.rn, p.seq, w.f, w.r, w.l, p.f AS nf, p.r AS nr, p.l AS nl, array_to_string(list_filter([
+       CASE WHEN w.l <> p.l THEN 'pdf_link' END, CASE WHEN w.r <> p.r THEN 'results_table' END,
+       CASE WHEN w.f <> p.f THEN 'search_form' END], lambda x: x IS NOT NULL), '|') AS changed
+     FROM walk w JOIN p ON p.portal = w.portal AND p.rn = w.rn + 1) x)
+ SELECT portal, seq, changed FROM walk) y"""
+
+
+@query("selector_drift", _DRIFT)
 def q_selector_drift(t):
     return selector_drift(_probes(t)).select("portal", "seq", "drifted", "changed")
 
 
-@query("drift_stream", "SELECT portal, count(*) AS probes FROM probes GROUP BY portal")
+@query("drift_stream", _DRIFT)
 def q_drift_stream(t):
-    return selector_drift(_probes(t)).groupBy("portal").agg(F.count("*").alias("probes"))
+    """Three thirds of the time line arrive one after the other; the stream goes on from its checkpoint."""
+    root = _fresh_folder(t)
+    rows = _probes(t)
+    ends = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    low, high = (x or 0 for x in ends)
+    third = F.least(F.floor((F.unix_micros("ts") - low) * 3 / (high - low + 1)), F.lit(2))
+    for k in range(3):
+        rows.where(third == k).write.mode("append").parquet(f"{root}/probes")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/probes")
+        start_drift(stream, f"{root}/found", f"{root}/progress").awaitTermination()
+    return read_drifts(t.spark, f"{root}/found").select("portal", "seq", "drifted", "changed")
 
 
 @query("sink_stage_tables", "SELECT processo_id, final AS overall_status, CAST(score AS DOUBLE) AS conformity_score FROM k_conformity")

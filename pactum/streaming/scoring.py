@@ -1,17 +1,29 @@
-"""Incremental evaluation of new publications."""
+"""Incremental evaluation of new publications.
+
+The newest publication of every process is streaming state: an aggregate in
+update mode, so a micro-batch restores and emits only the processes it names.
+What they are scored against lies in snapshot tables dealt by process; a batch
+opens the buckets of its processes. The alerts of the batch replace those of
+its processes in one commit. So a batch costs what its rows and buckets cost,
+however much arrived before, and the result does not depend on how arrivals are
+cut into batches. A batch that is run again commits the same rows again.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactum.functions.dates import parse_dmy
 from pactum.operators.alerts import classify_alerts
 from pactum.operators.evaluate import compliance_stage, conformity_stage
-from pactum.operators.ranking import pick_last
+from pactum.sources.snapshots import Change, Snapshots
+from pactum.sources.stage_store import key_bucket, store
 
 KEY = "processo_id"
+INPUTS = ("contracts", "raw_texts", "answers")
+ALERTS = "alerts"
 
 
 def score_batch(
@@ -23,42 +35,43 @@ def score_batch(
     return classify_alerts(conformity_stage(compliance_stage(named, publications, texts, replies)))
 
 
-def start_scoring(
-    publications: DataFrame, contracts: DataFrame, raw_texts: DataFrame, answers: DataFrame,
-    out: str, checkpoint: str,
-) -> StreamingQuery:
-    """Score publications as they arrive; each batch owns one folder of the result.
+def newest_publications(publications: DataFrame) -> DataFrame:
+    """The newest publication of each process, of a table or (in update mode) of a stream.
 
-    Arrived publications are kept beside the result, and a process is scored
-    with the newest of all its publications so far. So the alert of a process
-    does not depend on how its publications are cut into batches. A batch that
-    is run again after a failure overwrites its own folders.
+    Undated publications come first; ties go to the larger text, number and value.
     """
+    rest = [c for c in publications.columns if c != KEY]
+    # A struct is never null itself, so undated publications are ranked too.
+    order = F.struct(
+        parse_dmy(F.col("publication_date")), "publication_date", "contract_number", "value")
+    newest = publications.groupBy(KEY).agg(F.max_by(F.struct(*rest), order).alias("_newest"))
+    return newest.select(KEY, "_newest.*")
+
+
+def publish_inputs(
+    snapshots: Snapshots, contracts: DataFrame, raw_texts: DataFrame, answers: DataFrame
+) -> int:
+    """Store what publications are scored against; again for rows that changed."""
+    return snapshots.commit(dict(zip(INPUTS, map(Change, (contracts, raw_texts, answers)))))
+
+
+def start_scoring(publications: DataFrame, snapshots: Snapshots, checkpoint: str) -> StreamingQuery:
+    """Score streamed publications as they arrive; alerts are the table ``alerts`` of ``snapshots``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{out}_arrived/batch={batch_id}")
-        arrived = spark.read.schema(f"{batch.schema.toDDL()}, batch long").parquet(
-            f"{out}_arrived").where(F.col("batch") <= batch_id).drop("batch")
-        touched = arrived.join(batch.select(KEY).distinct(), KEY, "left_semi")
-        # A struct is never null itself, so undated publications are ranked too.
-        newest = F.struct(
-            parse_dmy(F.col("publication_date")), "publication_date", "contract_number", "value")
-        latest = pick_last(touched, [KEY], newest)
-        scored = score_batch(latest, contracts, raw_texts, answers)
-        scored.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        newest = store(batch, "newest_publications")  # the state is read and written once
+        # At most as many rows as there are buckets.
+        touched = [str(r[0]) for r in newest.select(
+            key_bucket(KEY, snapshots.buckets)).distinct().collect()]
+        if touched:
+            version = snapshots.version()
+            inputs = (snapshots.read(name, version, touched) for name in INPUTS)
+            snapshots.commit({ALERTS: Change(score_batch(newest, *inputs))})
 
     return (
-        publications.writeStream.foreachBatch(write)
+        newest_publications(publications).writeStream.foreachBatch(write)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def current_alerts(spark: SparkSession, out: str) -> DataFrame:
-    """The newest alert of every process over all batches."""
-    rows = spark.read.parquet(out)
-    rest = [c for c in rows.columns if c not in (KEY, "batch")]
-    return rows.groupBy(KEY).agg(F.max_by(F.struct(*rest), F.col("batch")).alias("_a")).select(
-        KEY, "_a.*")

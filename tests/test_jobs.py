@@ -17,6 +17,7 @@ from pactum.operators.runs import resolve_failures
 from pactum.operators.state import COMPLIANCE_DOCUMENT, parse_documents
 from pactum.sources import stage_store as store
 from pactum.sources.domain import tables
+from pactum.sources.snapshots import Change, Conflict, Snapshots
 from pactum.streaming import drift, failures, scoring
 
 
@@ -109,13 +110,18 @@ def test_resolution_only_covers_earlier_failures(spark):
     assert got == {1: True, 9: False, 2: True, 3: False}
 
 
+def plain_changes(baseline, probe):
+    return [name for name, state in probe.items()
+            if baseline.get(name) is not None and bool(state) != bool(baseline[name])]
+
+
 def plain_drift(rows):
     baseline, out = {}, {}
     for portal, ts, seq, selectors in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         if portal not in baseline:
             baseline[portal], changed = selectors, []
         else:
-            changed = drift.changed_selectors(baseline[portal], selectors)
+            changed = plain_changes(baseline[portal], selectors)
             if changed:
                 baseline[portal] = selectors
         out[seq] = "|".join(sorted(changed))
@@ -146,21 +152,54 @@ def test_selector_drift_equals_a_plain_walk(spark):
     assert got == plain_drift(rows)
 
 
-def test_drift_stream_keeps_its_baseline(spark):
-    rows, src, sink = probe_rows(60), folder(), []
-    rows.sort(key=lambda r: r[1])
-    for part in (rows[:30], rows[30:]):
-        df = probes(spark, part).withColumn(
-            "probe", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("selectors")))))
-        df.select("portal", "ts", "seq", "probe").coalesce(1).write.mode("append").parquet(src)
-        stream = spark.readStream.schema("portal string, ts timestamp, seq bigint, probe string").parquet(src)
-        query = (
-            drift.drift_stream(stream).writeStream.outputMode("append")
-            .foreachBatch(lambda b, _: sink.extend(b.collect()))
-            .option("checkpointLocation", src + "_cp").trigger(availableNow=True).start())
-        query.awaitTermination(120)
-    got = {r.seq: "|".join(sorted(filter(None, r.changed.split("|")))) for r in sink}
-    assert got == plain_drift(rows)
+def drift_found(rows):
+    return {r.seq: "|".join(sorted(filter(None, r.changed.split("|")))) for r in rows}
+
+
+def test_drift_over_many_levels_and_one_hot_portal(spark, monkeypatch):
+    """Small chunks and fans: the tables are composed over several levels."""
+    rng = random.Random(3)
+    rows = [("hot" if rng.random() < 0.9 else f"p{i % 3}", 1_700_000_000 + rng.randint(0, 400), i,
+             {k: rng.choice([True, True, False, None]) for k in rng.sample("abc", rng.randint(0, 3))}) for i in range(500)]
+    monkeypatch.setattr(drift, "CHUNK_BITS", 2)
+    monkeypatch.setattr(drift, "FAN_BITS", 1)
+    assert drift_found(drift.selector_drift(probes(spark, rows).repartition(6)).collect()) == plain_drift(rows)
+
+
+def test_hot_portal_is_spread_over_tasks(spark):
+    rows = [("hot", 1_700_000_000 + i, i, {"a": i % 7 > 1}) for i in range(4000)]
+    placed = drift._placed(probes(spark, rows).withColumn("probe", drift.probe_text(F.col("selectors"))))
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    chunks = drift._chunks(placed, spark.createDataFrame([], drift.BASELINES))
+    assert len(sizes) >= 3 and max(sizes) < 2000
+    assert chunks.count() >= 4000 >> drift.CHUNK_BITS and chunks.agg(F.max(F.size("probes"))).first()[0] <= 128
+
+
+def test_drift_goes_on_from_baselines(spark):
+    rows = sorted(probe_rows(80), key=lambda r: (r[1], r[2]))
+    text = lambda part: probes(spark, part).withColumn("probe", drift.probe_text(F.col("selectors")))
+    first, baselines = drift.drift_scan(text(rows[:40]))
+    second, after = drift.drift_scan(text(rows[40:]), baselines)
+    assert drift_found(first.collect() + second.collect()) == plain_drift(rows)
+    untouched, same = drift.drift_scan(text([]), after)
+    assert untouched.count() == 0 and sorted(same.collect()) == sorted(after.collect())
+
+
+def test_drift_stream_goes_on_and_repeats_batches_alike(spark):
+    rows, src, out = sorted(probe_rows(60), key=lambda r: (r[1], r[2])), folder(), folder()
+    for part in (rows[:25], rows[25:26], rows[26:]):
+        probes(spark, part).select("portal", "ts", "seq", "selectors").write.mode("append").parquet(src)
+        stream = spark.readStream.schema(
+            "portal string, ts timestamp, seq bigint, selectors map<string,boolean>").parquet(src)
+        drift.start_drift(stream, out, src + "_cp").awaitTermination(240)
+    assert drift_found(drift.read_drifts(spark, out).collect()) == plain_drift(rows)
+    # The last batch is run again, as after a failure before its commit was noted.
+    for name in ("2", ".2.crc"):
+        os.remove(f"{src}_cp/commits/{name}")
+    stream = spark.readStream.schema(
+        "portal string, ts timestamp, seq bigint, selectors map<string,boolean>").parquet(src)
+    drift.start_drift(stream, out, src + "_cp").awaitTermination(240)
+    assert drift_found(drift.read_drifts(spark, out).collect()) == plain_drift(rows)
 
 
 def test_failure_rate_stream(spark):
@@ -177,18 +216,27 @@ def test_failure_rate_stream(spark):
     assert sorted((r.stage, r.failures) for r in spark.table("rates").collect()) == [("s3", 2), ("s4", 1)]
 
 
+def scored(spark, t, parts, snapshots):
+    """The stream over some arrivals, each followed by a run from the checkpoint."""
+    src = folder()
+    for part in parts:
+        part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(part.schema).parquet(src)
+        scoring.start_scoring(stream, snapshots, src + "_cp").awaitTermination(300)
+    return {r.processo_id: (r.alert_level, r.conformity_score) for r in snapshots.read("alerts").collect()}
+
+
+def scoring_tables(spark, t):
+    snapshots = Snapshots(spark, folder(), 8)
+    scoring.publish_inputs(snapshots, t.contracts, t.raw_texts, t.answers)
+    return snapshots
+
+
 def test_incremental_scoring_equals_batch(spark, sf_dir):
     t = tables(spark, sf_dir)
-    src, out, cp = folder(), folder() + "/alerts", folder()
-    pubs = t.publications
-    halves = [pubs.where(F.pmod(F.xxhash64("processo_id"), F.lit(2)) == i) for i in (0, 1)]
-    for half in halves:
-        half.coalesce(1).write.mode("append").parquet(src)
-        stream = spark.readStream.schema(pubs.schema).parquet(src)
-        scoring.start_scoring(stream, t.contracts, t.raw_texts, t.answers, out, cp).awaitTermination(240)
-    got = {r.processo_id: (r.alert_level, r.conformity_score)
-           for r in scoring.current_alerts(spark, out).collect()}
-    published = t.alerts.join(pubs.select("processo_id"), "processo_id", "left_semi")
+    half = F.pmod(F.xxhash64("processo_id"), F.lit(2))
+    got = scored(spark, t, [t.publications.where(half == i) for i in (0, 1)], scoring_tables(spark, t))
+    published = t.alerts.join(t.publications.select("processo_id"), "processo_id", "left_semi")
     assert got == {r.processo_id: (r.alert_level, r.conformity_score) for r in published.collect()}
 
 
@@ -197,18 +245,85 @@ def test_streamed_scores_do_not_depend_on_batches(spark, sf_dir):
     one = t.publications.join(t.contracts.select("processo_id"), "processo_id", "left_semi").where(
         "publication_date is not null").orderBy("processo_id").limit(1)
     late = one.withColumn("publication_date", F.lit("31/12/2030"))
-    alerts = []
-    for order in ((one, late), (late, one), (one.union(late),)):
-        src, out, cp = folder(), folder() + "/alerts", folder()
-        for part in order:
-            part.coalesce(1).write.mode("append").parquet(src)
-            stream = spark.readStream.schema(t.publications.schema).parquet(src)
-            scoring.start_scoring(stream, t.contracts, t.raw_texts, t.answers, out, cp).awaitTermination(240)
-        alerts.append([(r.alert_level, r.conformity_score)
-                       for r in scoring.current_alerts(spark, out).collect()])
+    alerts = [scored(spark, t, order, scoring_tables(spark, t))
+              for order in ((one, late), (late, one), (one.union(late),))]
     assert len(alerts[0]) == 1 and alerts[0] == alerts[1] == alerts[2]
 
 
+def test_a_batch_reads_the_buckets_of_its_processes(spark, sf_dir):
+    """However many processes were scored before, a batch of one opens one bucket."""
+    t = tables(spark, sf_dir)
+    snapshots = scoring_tables(spark, t)
+    one = t.publications.join(t.contracts.select("processo_id"), "processo_id", "left_semi").orderBy(
+        "processo_id").limit(1)
+    key = one.first().processo_id
+    seen = []
+    read = snapshots.read
+    snapshots.read = lambda name, version=None, buckets=None: seen.append(buckets) or read(name, version, buckets)
+    scored(spark, t, [one], snapshots)
+    assert [b for b in seen if b is not None] == [[snapshots.bucket_of(key)]] * 3
+    assert set(snapshots.manifest()["alerts"].parts) == {snapshots.bucket_of(key)}
+
+
+# -- snapshots -----------------------------------------------------------------------------
+def values(rows):
+    return sorted((r.processo_id, r.v) for r in rows.collect())
+
+
+def test_snapshot_upsert_rewrites_the_buckets_of_its_keys(spark):
+    tables_ = Snapshots(spark, folder(), 8)
+    df = spark.range(200).selectExpr("concat('p', id) AS processo_id", "'old' AS v")
+    assert tables_.version() == 0 and tables_.commit({"s": Change(df)}) == 1
+    before = tables_.manifest()["s"].parts
+    new = spark.createDataFrame([("p7", "new"), ("q", "first")], df.schema)
+    tables_.commit({"s": Change(new, gone=spark.createDataFrame([("p8",), ("none",)], "processo_id string"))})
+    after = tables_.manifest()["s"].parts
+    touched = {tables_.bucket_of(k) for k in ("p7", "q", "p8")}
+    assert all(after[b] == before[b] for b in set(before) - touched - {tables_.bucket_of("none")})
+    got = dict(values(tables_.read("s")))
+    assert len(got) == 200 and got["p7"] == "new" and got["q"] == "first" and "p8" not in got
+    assert values(tables_.read_key("s", "p7")) == [("p7", "new")] and values(tables_.read_key("s", "p8")) == []
+    assert values(tables_.read("s", version=1)) == values(df)  # a reader of the old version still sees it
+    assert all(len(own) <= 2 for own in after.values())
+
+
+def test_a_failure_between_two_tables_changes_nothing(spark):
+    tables_ = Snapshots(spark, folder(), 4)
+    df = spark.createDataFrame([("a", "1")], "processo_id string, v string")
+    tables_.commit({"x": Change(df), "y": Change(df), "sum": Change(df, None)})
+    broken = df.select("processo_id", F.raise_error(F.lit("lost")).cast("string").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        tables_.commit({"x": Change(df.withColumn("v", F.lit("2"))), "y": Change(broken)})
+    assert tables_.version() == 1 and values(tables_.read("x")) == values(tables_.read("y")) == [("a", "1")]
+    assert tables_.vacuum(older_than_s=0) >= 1 and values(tables_.read("x")) == [("a", "1")]
+    with pytest.raises(ValueError):
+        tables_.commit({"x": Change(df.withColumn("w", F.lit(1)))})
+
+
+def test_two_writers_of_one_version_conflict(spark):
+    root = folder()
+    first, second = Snapshots(spark, root, 4), Snapshots(spark, root, 4)
+    df = spark.createDataFrame([("a", "1")], "processo_id string, v string")
+    second.version = lambda: 0  # it looked before the first one committed
+    first.commit({"x": Change(df)})
+    with pytest.raises(Conflict):
+        second.commit({"x": Change(df.withColumn("v", F.lit("2")))})
+    assert values(first.read("x")) == [("a", "1")]
+
+
+def test_vacuum_keeps_what_kept_versions_name(spark):
+    tables_ = Snapshots(spark, folder(), 4)
+    df = spark.range(40).selectExpr("concat('p', id) AS processo_id", "'0' AS v")
+    for k in range(4):
+        tables_.commit({"x": Change(df.withColumn("v", F.lit(str(k)))), "sum": Change(df.limit(k + 1), None)})
+    assert tables_.vacuum(keep=2, older_than_s=0) > 0
+    assert tables_.read("x", 3).count() == tables_.read("x", 4).count() == 40
+    assert tables_.read("sum", 3).count() == 3 and tables_.vacuum(keep=2, older_than_s=0) == 0
+    empty = Snapshots(spark, folder(), 4)
+    empty.commit({"x": Change(df.limit(0))})
+    assert empty.read("x").count() == 0 and empty.read_key("x", "p1").count() == 0
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "processo_id" and df.limit(1).count() == 1
