@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import functions as F
 
 from pactum import constants as K
 from pactum.functions.dates import masthead_date, opening_date
 from pactum.functions.gazette import edition_number
 from pactum.functions.names import clean_party, split_parties
+from pactum.operators import audit as A
 from pactum.operators import contract_text as T
 from pactum.operators import gazette_text as G
 from pactum.operators import requests as Q
 from pactum.operators.ranking import pick_first
 from pactum.plans.check_sql import CHECK_VIEWS
 from pactum.plans.registry import query
+from pactum.session import checkpoint_dir
+from pactum.sources.snapshots import Snapshots
 
 KEY = "processo_id"
 
@@ -327,3 +333,65 @@ SELECT processo_id, kind FROM (SELECT processo_id, 'contract' AS kind FROM raw_p
 def llm_request_batch(t):
     requests = Q.extraction_requests(t.raw_texts).unionByName(Q.party_requests(t.compliance))
     return requests.select(KEY, "kind")
+
+
+# -- from texts to alerts --------------------------------------------------------------------
+def _from_texts() -> dict[str, str]:
+    """The audit rules over fields that SQL reads from the texts, instead of over structured rows."""
+    trigger = test("c", K.EMBEDDED_TRIGGER, "i")
+    own = {"contracts": "x_contracts", "publications": "x_publications", "raw_presence": "x_presence"}
+    views = {
+        "x_docs": f"""
+SELECT processo_id, 1 AS document_index, NULL AS content_hint, NULL AS meta_date, true AS quality_passes,
+  NULL AS extraction_error, {trigger} AS usable, CASE WHEN {trigger} THEN c END AS whole,
+  CASE WHEN {trigger} THEN substr(c, greatest(z - {K.BLOCK_BACK_CHARS}, 0) + 1, z + {K.BLOCK_FORWARD_CHARS} - greatest(z - {K.BLOCK_BACK_CHARS}, 0)) END AS t
+FROM (SELECT *, strpos(lower(c), lower(processo_id)) - 1 AS z FROM k_clean) k""",
+        "x_fields": CHECK_VIEWS["k_fields"].replace("k_docs", "x_docs"),
+        "x_parsed": CHECK_VIEWS["k_parsed"].replace("k_fields", "x_fields").replace(
+            prose("t", K.MASTHEAD_DATE), prose("whole", K.MASTHEAD_DATE)),
+        "x_embedded": """
+SELECT *, coalesce(masthead, signing_date_in_pub) AS dated FROM x_parsed WHERE usable AND coalesce(masthead, signing_date_in_pub) IS NOT NULL""",
+        "x_contracts": f"""
+SELECT k.processo_id, {rx('k.c', K.HEADER_NUMBER)} AS contract_number,
+  coalesce({rx("substr(k.c, 1, 2000)", K.HEADER_DATE_LABEL)}, {prose("substr(k.c, 1, 2000)", K.HEADER_DATE_PROSE, "'??'")}) AS signing_date,
+  s.hiring AS contratante, s.hired AS contratada, NULL AS header_value, NULL AS value,
+  e.processo_id IS NOT NULL AS emb_found, e.contratante AS emb_contratante, e.contratada AS emb_contratada
+FROM k_clean k JOIN seed s ON s.pid = k.processo_id LEFT JOIN x_embedded e ON e.processo_id = k.processo_id""",
+        "x_publications": f"""
+SELECT coalesce(e.processo_id, p.processo_id) AS processo_id,
+  CASE WHEN e.processo_id IS NOT NULL THEN '{K.SOURCE_EMBEDDED}' ELSE '{K.SOURCE_GAZETTE}' END AS source,
+  CASE WHEN e.processo_id IS NOT NULL THEN e.masthead ELSE p.publication_date END AS publication_date,
+  CASE WHEN e.processo_id IS NOT NULL THEN e.contract_number ELSE p.contract_number END AS contract_number,
+  CASE WHEN e.processo_id IS NOT NULL THEN e.contratante ELSE p.contratante END AS contratante,
+  CASE WHEN e.processo_id IS NOT NULL THEN e.contratada ELSE p.contratada END AS contratada,
+  CASE WHEN e.processo_id IS NOT NULL THEN e.value ELSE p.value END AS value
+FROM x_embedded e FULL JOIN k_primary p ON p.processo_id = e.processo_id""",
+        "x_presence": """
+SELECT c.processo_id, c.raw_text AS contract_text, b.raw_text AS publication_text FROM contract_docs c LEFT JOIN (
+  SELECT processo_id, raw_text FROM (SELECT *, row_number() OVER (PARTITION BY processo_id ORDER BY CASE WHEN quality_passes AND
+    content_hint = 'structured_contract' THEN 0 WHEN quality_passes THEN 1 ELSE 2 END, document_index) AS rn FROM gazette_docs) r
+  WHERE rn = 1) b ON b.processo_id = c.processo_id""",
+    }
+    chain = ["k_joined", "k_usable", "k_diag", "k_merged", "k_r001", "k_asked", "k_r002", "k_r002b", "k_compliance",
+             "k_overall", "k_values", "k_rules", "k_verdicts", "k_scored", "k_gated", "k_conformity", "k_reason", "k_alerts"]
+    for name in chain:
+        text = re.sub(r"\b(FROM|JOIN)\s+(\w+)", lambda m: f"{m[1]} {own.get(m[2], 'x' + m[2] if m[2] in chain else m[2])}",
+                      CHECK_VIEWS[name])
+        views[f"x{name}"] = text
+    return views
+
+
+CHECK_VIEWS.update(_from_texts())
+
+
+@query("audit_from_text", """
+SELECT processo_id, alert_level, reason, CAST(score AS DOUBLE) AS conformity_score, final AS overall_status FROM xk_alerts""")
+def audit_from_text(t):
+    """Two runs over the stored texts: the second one finds a tenth of them changed back."""
+    snapshots = Snapshots(t.spark, f"{checkpoint_dir(t.spark)}/pactum/{uuid.uuid4().hex}/audit", 16)
+    texts = A.Texts(t.contract_docs, t.gazette_docs, t.answers)
+    touched = F.pmod(F.xxhash64(KEY), F.lit(10)) == 0
+    cut = F.when(touched, F.concat(F.lit("RASCUNHO "), F.right("raw_text", F.lit(80)))).otherwise(F.col("raw_text"))
+    A.audit_changes(A.Texts(texts.contracts.withColumn("raw_text", cut), texts.gazette, texts.answers), snapshots)
+    A.audit_changes(texts, snapshots)
+    return A.stored_alerts(snapshots)
