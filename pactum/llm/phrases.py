@@ -34,8 +34,8 @@ from pactum.llm.common import FILTER_WORDS, Memo, membership, store, text_slices
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-#: Characters of text whose grams are summed before they leave a task.
-SLICE = 8_000_000
+#: Characters of text read at once, words remembered, and hashes summed before they leave a task.
+SLICE, WORDS, HASHES = 2_000_000, 400_000, 2_500_000
 #: Parts of a language that are ranked before the language is.
 SALTS = 64
 
@@ -56,7 +56,7 @@ class _Slices:
 
     def __init__(self):
         self.hash = np.empty(0, np.uint64)
-        self.memo = Memo(self._extend, self._clear)
+        self.memo = Memo(self._extend, self._clear, WORDS)
 
     def _extend(self, new: list[bytes]) -> None:
         more = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
@@ -84,12 +84,20 @@ class _Slices:
 def _hashed_counts(docs: DataFrame) -> DataFrame:
     """(hash, n) of words and word pairs, partly summed."""
 
+    def summed(parts):
+        hashes, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "n"])
+
     def run(batches):
+        held = []
         for _, _, _, _, single, pair, inside in _Slices().read(batches):
-            hashes, n = np.unique(np.concatenate(
-                [single[inside], pair[inside[:-1] & inside[1:]]]), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "n"])
+            held += [single[inside], pair[inside[:-1] & inside[1:]]]
+            if sum(map(len, held)) > HASHES:
+                yield summed(held)
+                held = []
+        if held:
+            yield summed(held)
 
     return docs.mapInArrow(run, "hash long, n long")
 
