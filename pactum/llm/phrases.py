@@ -9,8 +9,8 @@ way from the level above. A node with one edge in, one edge out and no
 correction is inside an unary path: such paths are compacted, and no phrase
 inside one is a candidate of its own.
 
-A first pass counts words and word pairs by hash and keeps one bit of every hash
-that is frequent enough. A gram ends where a pair is surely too rare for any
+A first pass counts words and word pairs by hash and keeps two bits of every
+hash that is frequent enough. A gram ends where a pair is surely too rare for any
 candidate, so the second pass counts few long grams. The bit array has a fixed
 size and never loses a frequent pair; all reported counts are exact.
 
@@ -102,11 +102,19 @@ def _hashed_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "hash long, n long")
 
 
-def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+#: A hash has one bit by its low digits and one by those behind.
+_BEHIND = 23
+
+
+def _bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     place = hashes & np.uint64(64 * FILTER_WORDS - 1)
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return _bit(bits, hashes) & _bit(bits, hashes >> np.uint64(_BEHIND))
+
+
 def _reach(linked: np.ndarray) -> np.ndarray:
     """Words of the gram that starts at each word."""
     size, going = np.ones(len(linked), np.int64), linked.copy()
@@ -166,7 +174,9 @@ def gram_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFra
     """
     texts = docs.select("text", "lang")
     frequent = _hashed_counts(texts).groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    bits = np.array(membership(frequent, F.col("hash")).first()["bits"], np.int64).view(np.uint64)
+    both = frequent.select(F.explode(F.array(
+        "hash", F.shiftrightunsigned("hash", _BEHIND))).alias("hash"))
+    bits = np.array(membership(both, F.col("hash")).first()["bits"], np.int64).view(np.uint64)
     grams = store(
         _grams(texts, bits).groupBy("lang", "size", "gram").agg(F.sum("n").alias("f")), "grams")
     level = grams.where(F.col("size") == LONGEST)
