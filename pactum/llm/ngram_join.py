@@ -8,12 +8,13 @@ prefixes, a pair of groups is filtered by size, and its members are filtered
 by the parity bits of their sets, which never reject a similar pair, before the
 full sets decide.
 
-No bucket lists its pairs. Equal sets are one member from the start. A group is
-linked to its first member, and the groups of a gram to the busiest among them.
-Only where a bucket still holds several components are their members compared
-across components, in blocks of bounded size that hold ids and bits but no
-sets: first along a spanning forest of likely links, then whatever is still
-apart.
+Equal sets are one member from the start. A group is linked to its first member,
+and the groups of a gram to the busiest among them. Only where a bucket still
+holds several components are their members compared across components. In
+buckets of up to 64 members, pairs are also filtered by the places of the gram.
+Larger buckets never list their pairs: their members meet in blocks of bounded
+size that hold ids and bits but no sets, first along a spanning forest of likely
+links, then whatever is still apart.
 
 Handling: null, empty and wordless texts have an empty set and link with
 nothing; a text shorter than a gram is one gram. Repeated rows are equal sets.
@@ -36,7 +37,9 @@ from pactum.llm.minhash import shingle_sets
 #: A gram in more first prefixes than this goes to the end of the order.
 FREQUENT = 16
 #: First prefixes are this much longer, since frequent grams make room later.
-LONGER = 1.5
+LONGER = 1.25
+#: Members of a bucket whose pairs may be listed.
+SMALL = 64
 #: Bytes of one block of a bucket, and those of a member besides its bits.
 BLOCK_BYTES, ROW_BYTES = 600_000, 200
 
@@ -54,10 +57,10 @@ def close_enough(x: int, y: int, apart: int, percent: int) -> bool:
 def parity_bits(grams: np.ndarray) -> np.ndarray:
     """One bit per slot: whether the set holds an odd number of its grams.
 
-    Sets differ in at least as many grams as their bits do. There are two to four
+    Sets differ in at least as many grams as their bits do. There are one to two
     slots for each gram.
     """
-    slots = max(64, 1 << int(2 * len(grams) - 1).bit_length())
+    slots = max(64, 1 << int(len(grams) - 1).bit_length())
     odd = np.bincount((grams & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -183,6 +186,36 @@ def _busiest(groups: DataFrame, key: str) -> DataFrame:
     return scored.join(top, [key, "score"]).groupBy(key).agg(F.min("group").alias("centre"))
 
 
+def _open_buckets(spread: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of small and of large buckets that hold several components.
+
+    Of large buckets with the same members one is kept.
+    """
+    labels = store(labels, "labels")
+    placed = spread.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").select(
+        "bucket", "place", "id", "n", F.coalesce("component", "id").alias("component"))
+    found = placed.groupBy("bucket").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where("lo != hi")
+    once = found.where(F.col("rows") > SMALL).groupBy("rows", "x", "y").agg(F.min("bucket").alias("bucket"))
+    kept = found.where(F.col("rows") <= SMALL).select("bucket", "rows").union(once.select("bucket", "rows"))
+    open_ = store(placed.join(kept, "bucket"), "open_buckets")
+    return open_.where(F.col("rows") <= SMALL), open_.where(F.col("rows") > SMALL)
+
+
+def _listed(small: DataFrame, percent: int) -> DataFrame:
+    """Pairs of small buckets that sizes allow, and the places of a gram that is their first common one."""
+    side = lambda end: small.select("bucket", *[
+        F.col(c).alias(f"{end}_{c}") for c in ("id", "place", "n", "component")])
+    both = side("a").join(side("b"), "bucket")
+    behind = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    return both.where(
+        (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component"))
+        & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+        & ((100 + percent) * behind >= percent * (F.col("a_n") + F.col("b_n")))).select(
+        F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+
 def _blocks(placed: DataFrame) -> DataFrame:
     """Members of open buckets, dealt into groups of at most two blocks.
 
@@ -286,7 +319,7 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     grouped = store(members.select("id", "prefix_key", "n").join(groups, ["prefix_key", "n"]).select(
         "id", "n", "group").distinct(), "groups")
     postings = members.join(grouped.where("id = group").select("id"), "id", "left_semi").select(
-        F.col("id").alias("group"), F.explode("prefix").alias("bucket")).distinct()
+        F.col("id").alias("group"), F.posexplode("prefix").alias("place", "bucket"))
     shared = postings.groupBy("bucket").agg(F.count("*").alias("groups")).where("groups > 1")
     buckets = store(postings.join(shared.select("bucket"), "bucket"), "buckets")
 
@@ -298,24 +331,21 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     links = store(verify(_likely(stars.union(inside).distinct(), members, percent)), "links")
 
     # Buckets with several components: grams with the members of their groups, and the groups themselves.
-    spread = buckets.join(grouped, "group").select("bucket", "id", "n").union(
-        grouped.join(grouped.groupBy("group").count().where("count > 1"), "group").select(
-            F.xxhash64(F.lit("group"), "group").alias("bucket"), "id", "n")).distinct()
-    for forest in (True, False):
-        labels = store(components(links), "labels")
-        placed = spread.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").select(
-            "bucket", "id", "n", F.coalesce("component", "id").alias("component"))
-        open_ = placed.groupBy("bucket").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"),
-            F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where(
-            "lo != hi").groupBy("rows", "x", "y").agg(F.min("bucket").alias("bucket"))
-        placed = store(placed.join(open_.select("bucket"), "bucket"), "open_buckets")
-        more = verify(_across(placed, members, percent, forest))
-        links = store(links.union(more), "links")
+    several = grouped.groupBy("group").count().where("count > 1").select("group")
+    spread = store(buckets.join(grouped, "group").select("bucket", "place", "id", "n").union(
+        grouped.join(several, "group").select(
+            F.xxhash64(F.lit("group"), "group").alias("bucket"), F.lit(0).alias("place"), "id", "n")), "spread")
+    small, large = _open_buckets(spread, components(links))
+    more = store(verify(_likely(_listed(small, percent), members, percent).union(
+        _across(large, members, percent, True))), "links")
+    links = links.union(more)
+    if large.take(1):
+        _, large = _open_buckets(spread, components(links))
+        links = links.union(store(verify(_across(large, members, percent, False)), "links"))
 
     # Rows that share an id are linked with each other.
-    several = named.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo != hi")
-    same = named.join(several.select("doc_id"), "doc_id", "left_semi").join(
+    twice = named.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo != hi")
+    same = named.join(twice.select("doc_id"), "doc_id", "left_semi").join(
         classes.select("set_key", "id"), "set_key").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     labels = components(links.union(same))
     at = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
