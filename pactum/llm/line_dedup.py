@@ -59,18 +59,24 @@ def _lines(docs: DataFrame) -> DataFrame:
         "lines", lambda line, i: F.struct(
             line.alias("line"), F.substring_index(F.when(i > 0, F.get("lines", i - 1)), " ", DEPTH)
             .alias("before")))).alias("pos", "at"))
-    one = with_before.select(
+    return _placed(with_before.select(
         "doc_id", "tie", "pos", _masked(F.col("at.line")).alias("line"),
-        F.xxhash64("at.before").alias("place"))
-    blanks = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
+        F.xxhash64("at.before").alias("place")))
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    """Masked lines that can be a template, with their leaf."""
+    tokens = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     fields = F.col("line").isin("", VARIABLE, f"{VARIABLE} {VARIABLE}")
-    return one.withColumn("tokens", blanks + 1).where((F.col("tokens") >= MIN_TOKENS) & ~fields).withColumn(
+    return lines.withColumn("tokens", tokens).where((F.col("tokens") >= MIN_TOKENS) & ~fields).withColumn(
         "leaf", F.xxhash64("tokens", F.substring_index("line", " ", DEPTH))).drop("tokens")
 
 
 def _crowded(docs: DataFrame) -> DataFrame:
     """Lines in leaves that hold enough lines to repeat a template often enough."""
-    leaves = store(_lines(docs).groupBy("leaf").agg(F.count("*").alias("n")).where(
+    raw = docs.select(F.explode(F.split(_body(), "\n")).alias("line"))
+    bare = _placed(raw.select(_masked(F.col("line")).alias("line")))
+    leaves = store(bare.groupBy("leaf").agg(F.count("*").alias("n")).where(
         F.col("n") >= MIN_PLACES).select("leaf"), "leaves")
     bits = F.broadcast(membership(leaves, F.col("leaf")))  # fixed size
     likely = _lines(docs).crossJoin(bits).where(may_hold(F.col("bits"), F.col("leaf"))).drop("bits")
