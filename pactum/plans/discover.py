@@ -24,6 +24,7 @@ from pactum.functions.ids import (
 from pactum.functions.money import find_currency
 from pactum.functions.text import clean_text, strip
 from pactum.operators import discovery as D
+from pactum.operators.id_search import ids_in_texts
 from pactum.plans.registry import query
 
 KEY = "processo_id"
@@ -265,6 +266,24 @@ def variation_match(t):
         (F.col("matched_variation") == "").alias("possible_mismatch"), "matched_variation")
 
 
+_PAGES = "SELECT processo_id || '#' || document_index AS page, raw_text FROM gazette_docs"
+
+
+@query("variation_match_any", f"""
+SELECT page, id, matched_variation FROM (
+ SELECT page, id, v AS matched_variation, row_number() OVER (PARTITION BY page, id ORDER BY nth) AS rn FROM (
+  SELECT DISTINCT page, lower(raw_text) AS body, substr(lower(raw_text), unnest(range(1, length(raw_text) + 1)), 8) AS start
+  FROM ({_PAGES}) d) g
+ JOIN (SELECT pid AS id, unnest(list_transform(keep, lambda x: lower(x))) AS v, unnest(range(len(keep))) AS nth
+   FROM (SELECT DISTINCT pid, {_KEEP} AS keep FROM ({_SPELL}) s) k) w ON g.start = left(w.v, 8) AND contains(g.body, w.v)) y
+WHERE rn = 1""")
+def variation_match_any(t):
+    """Every process identifier in every gazette text, not only in those of its own process."""
+    page = F.concat(KEY, F.lit("#"), F.col("document_index").cast("string"))
+    texts = t.gazette_docs.select(page.alias("page"), "raw_text")
+    return ids_in_texts(texts, t.view("seed").select(F.col("pid").alias(KEY)), "page", "raw_text")
+
+
 @query("literal_id_in_text", "SELECT processo_id, document_index, contains(lower(raw_text), lower(processo_id)) AS found FROM gazette_docs")
 def literal_id_in_text(t):
     return t.gazette_docs.select(

@@ -6,14 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from pactum.operators.alerts import alert_export, alerts_summary
+from pactum.operators.alerts import alert_export
+from pactum.operators.contract_text import embedded_as_publication
+from pactum.operators.gazette_text import consolidate, prefer_embedded
 from pactum.operators.runs import new_failures
-from pactum.plans.registry import query
+from pactum.plans import evaluate, extract, report  # noqa: F401  their queries and checks are read here
+from pactum.plans.registry import QUERIES, query
 from pactum.session import checkpoint_dir
-from pactum.sources.snapshots import Snapshots
-from pactum.sources.stage_store import (
-    append_rows, read_stage, write_csv, write_stage, write_summary,
-)
+from pactum.sources.snapshots import Change, Snapshots
+from pactum.sources.stage_store import append_rows, write_csv
 from pactum.streaming.drift import read_drifts, selector_drift, start_drift
 from pactum.streaming.failures import failure_rate
 from pactum.streaming.scoring import ALERTS, publish_inputs, start_scoring
@@ -97,19 +98,100 @@ def q_drift_stream(t):
     return read_drifts(t.spark, f"{root}/found").select("portal", "seq", "drifted", "changed")
 
 
+# -- all stage tables and summaries under one manifest ------------------------------------------
+def _stage_rows(t) -> dict:
+    """The rows of the seven stage tables."""
+    return {
+        "raw": t.contract_docs,
+        "publications": t.gazette_docs,
+        "preprocessed": t.preprocessed,
+        "structured": prefer_embedded(consolidate(t.parsed_documents), embedded_as_publication(t.preprocessed)),
+        "compliance": t.compliance,
+        "conformity": t.conformity,
+        "alerts": t.alerts,
+    }
+
+
+#: Summaries and the queries that make their rows.
+_SUMMARIES = {"alerts_summary": "executive_summary", "conformity_summary": "conformity_summary",
+              "queue": "export_queue_csv", "aggregate": "aggregate_report", "state_index": "state_index_join"}
+
+
+def _published(t) -> Snapshots:
+    """One commit of all stage tables and summaries; made once for a set of tables."""
+    if "published_tables" not in vars(t):
+        snapshots = Snapshots(t.spark, f"{_fresh_folder(t)}/published", 16)
+        changes = {name: Change(rows) for name, rows in _stage_rows(t).items()}
+        changes |= {name: Change(QUERIES[made].build(t), None) for name, made in _SUMMARIES.items()}
+        snapshots.commit(changes)
+        t.published_tables = snapshots
+    return t.published_tables
+
+
 @query("sink_stage_tables", "SELECT processo_id, final AS overall_status, CAST(score AS DOUBLE) AS conformity_score FROM k_conformity")
 def sink_stage_tables(t):
-    root = _fresh_folder(t)
-    write_stage(t.conformity.select(KEY, "overall_status", "conformity_score"), root, "conformity", 16)
-    return read_stage(t.spark, root, "conformity")
+    return _published(t).read("conformity").select(KEY, "overall_status", "conformity_score")
+
+
+@query("sink_raw", "SELECT processo_id, md5(raw_text) AS text_md5 FROM contract_docs")
+def sink_raw(t):
+    return _published(t).read("raw").select(KEY, F.md5("raw_text").alias("text_md5"))
+
+
+@query("sink_publications", """
+SELECT processo_id, document_index, content_hint, meta_date, edition_number, page_number, source_url, quality_passes, extraction_error,
+  md5(raw_text) AS text_md5 FROM gazette_docs""")
+def sink_publications(t):
+    rows = _published(t).read("publications")
+    return rows.select(*[c for c in rows.columns if c != "raw_text"], F.md5("raw_text").alias("text_md5"))
+
+
+@query("sink_preprocessed", QUERIES["extract_header"].check)
+def sink_preprocessed(t):
+    names = ("contract_number", "processo_id_in_document", "signing_date", "object_summary")
+    return _published(t).read("preprocessed").select(KEY, *[f"header.{n}" for n in names])
+
 
+@query("sink_structured", QUERIES["embedded_to_publication"].check)
+def sink_structured(t):
+    return _published(t).read("structured").select(KEY, "source", "documents_found", "publication_date")
 
-@query("sink_summaries", """
-SELECT count(*) AS total_contracts, count(*) FILTER (alert_level = 'OK') AS ok FROM k_alerts""")
+
+@query("sink_compliance", "SELECT processo_id, status, review_reason, status_review AS requires_review FROM k_overall")
+def sink_compliance(t):
+    return _published(t).read("compliance").select(
+        KEY, "overall.status", "overall.review_reason", "overall.requires_review")
+
+
+@query("sink_alerts", "SELECT processo_id, alert_level, reason, failed_list AS failed_rules FROM (SELECT *, array_to_string(failed, '|') AS failed_list FROM k_alerts) x")
+def sink_alerts(t):
+    return _published(t).read("alerts").select(
+        KEY, "alert_level", "reason", F.array_join("failed_rules", "|").alias("failed_rules"))
+
+
+@query("sink_summaries", QUERIES["executive_summary"].check)
 def sink_summaries(t):
-    path = f"{_fresh_folder(t)}/alerts_summary"
-    write_summary(alerts_summary(t.alerts), path)
-    return t.spark.read.schema("total_contracts long, ok long").json(path)
+    return _published(t).read("alerts_summary")
+
+
+@query("sink_conformity_summary", QUERIES["conformity_summary"].check)
+def sink_conformity_summary(t):
+    return _published(t).read("conformity_summary")
+
+
+@query("sink_queue", QUERIES["export_queue_csv"].check)
+def sink_queue(t):
+    return _published(t).read("queue")
+
+
+@query("sink_aggregate", QUERIES["aggregate_report"].check)
+def sink_aggregate(t):
+    return _published(t).read("aggregate")
+
+
+@query("sink_state_index", QUERIES["state_index_join"].check)
+def sink_state_index(t):
+    return _published(t).read("state_index")
 
 
 @query("sink_alerts_csv", "SELECT processo_id, alert_level, reason FROM k_alerts")
