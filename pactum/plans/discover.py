@@ -74,7 +74,7 @@ def scan_discovery_meta(t):
 
 @query("scan_pid_filter", "SELECT pid AS processo_id FROM seed WHERE pid = 'GARBAGE-49'")
 def scan_pid_filter(t):
-    return D.pid_work_item(t.links, "GARBAGE-49")
+    return D.pid_work_item(t.lookups.read_key("links", "GARBAGE-49"), "GARBAGE-49")
 
 
 @query("scan_discovery_summary", """

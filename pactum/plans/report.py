@@ -58,7 +58,7 @@ def incomplete_contracts(t):
 SELECT {', '.join(f"max(CASE WHEN artifact = '{a}' THEN body END) AS {a}" for a in K.ARTIFACTS)}
 FROM artifact_docs WHERE processo_id = (SELECT pid FROM seed WHERE pid = 'GARBAGE-99')""")
 def processo_detail(t):
-    return S.process_detail("GARBAGE-99", t.view("artifact_docs"))
+    return S.process_detail("GARBAGE-99", t.lookups.read_key("artifacts", "GARBAGE-99"))
 
 
 _BASE = f"""processo_id, pipeline_stage, company_name, contract_value, contract_date, publication_date, days_to_publish,

@@ -16,7 +16,7 @@ from pactum.session import checkpoint_dir
 from pactum.sources.snapshots import Change, Snapshots
 from pactum.sources.stage_store import append_rows, write_csv
 from pactum.streaming.drift import read_drifts, selector_drift, start_drift
-from pactum.streaming.failures import failure_rate
+from pactum.streaming.failures import read_failure_rate, start_failure_rate
 from pactum.streaming.scoring import ALERTS, publish_inputs, start_scoring
 
 KEY = "processo_id"
@@ -47,10 +47,29 @@ def incremental_scoring(t):
 
 
 @query("failure_rate_stream", """
-SELECT date_trunc('hour', CAST(logged_at AS TIMESTAMP)) AS window_start, stage, count(*) AS failures FROM run_log WHERE outcome = 'failed' GROUP BY 1, 2""")
+SELECT date_trunc('hour', moment) AS window_start, stage, count(*) AS failures FROM (
+  SELECT stage, moment, seq, floor((epoch_us(moment) - min(epoch_us(moment)) OVER ()) * 3 / (max(epoch_us(moment)) OVER () - min(epoch_us(moment)) OVER () + 1)) AS third
+  FROM (SELECT stage, seq, CAST(logged_at AS TIMESTAMP) AS moment FROM run_log WHERE outcome = 'failed') r) x
+WHERE NOT (third = 0 AND seq % 50 = 0) GROUP BY 1, 2""")
 def failure_rate_stream(t):
-    failures = new_failures(t.run_log).withColumn("failed_at", F.to_timestamp("failed_at"))
-    return failure_rate(failures).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    """Thirds of the time line arrive one after the other, each followed by a run from the checkpoint.
+    Every fiftieth failure of the first third comes with the last one, long after its window was closed,
+    and is dropped. A last failure, three hours on, closes all windows but its own."""
+    root = _fresh_folder(t)
+    rows = t.run_log.where("outcome = 'failed'").select("stage", "seq", F.to_timestamp("logged_at").alias("failed_at"))
+    low, high = (x or 0 for x in rows.agg(F.min(F.unix_micros("failed_at")), F.max(F.unix_micros("failed_at"))).first())
+    third = F.least(F.floor((F.unix_micros("failed_at") - low) * 3 / (high - low + 1)), F.lit(2))
+    late = (third == 0) & (F.col("seq") % 50 == 0)
+    last = t.spark.range(1).select(
+        F.lit("end").alias("stage"), F.lit(0).cast("bigint").alias("seq"),
+        F.timestamp_micros(F.lit(high + 3 * 3_600_000_000).cast("bigint")).alias("failed_at"))
+    arrivals = [rows.where((third == 0) & ~late), rows.where(third == 1), rows.where((third == 2) | late), last]
+    for arrived in arrivals:
+        arrived.write.mode("append").parquet(f"{root}/failures")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/failures")
+        start_failure_rate(stream, f"{root}/rates", f"{root}/progress").awaitTermination()
+    return read_failure_rate(t.spark, f"{root}/rates").withColumn(
+        "window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 def _probes(t):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pactum.operators.gazette_text import parsed_documents
 from pactum.operators.report import report_rows
 from pactum.operators.state import state_index
 from pactum.sources import adapter
+from pactum.session import checkpoint_dir
+from pactum.sources.snapshots import Change, Snapshots
 from pactum.sources.stage_store import store
 
 KEY = "processo_id"
@@ -92,6 +95,14 @@ class Tables:
         """Stored contract texts as structured rows."""
         return store(preprocess_contracts(self.contract_docs), "contract_preprocessed")
 
+    @cached_property
+    def lookups(self) -> Snapshots:
+        """Links and stage documents stored by process, for reads of one process."""
+        snapshots = Snapshots(self.spark, f"{checkpoint_dir(self.spark)}/pactum/{uuid.uuid4().hex}/lookups")
+        links = self.links.withColumn(KEY, F.trim(KEY))
+        snapshots.commit({"links": Change(links), "artifacts": Change(self.view("artifact_docs"))})
+        return snapshots
+
     @cached_property
     def state(self) -> DataFrame:
         return state_index(self.links, self.view("artifact_docs"))

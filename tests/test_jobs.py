@@ -232,6 +232,32 @@ def scoring_tables(spark, t):
     return snapshots
 
 
+def test_late_failures_are_dropped_across_restarts(spark):
+    """A failure whose window was closed in an earlier run does not count; an open window goes on."""
+    src, out = folder(), folder() + "/rates"
+    runs = [[("a", "00:10"), ("a", "00:20"), ("b", "03:30")],  # closes everything up to 02:30
+            [("a", "00:50"), ("b", "03:40"), ("b", "02:40")],  # the first is late, the last is not
+            [("c", "09:00"), (None, "03:59"), ("a", None)]]
+    seen = []
+    for part in runs:
+        spark.createDataFrame([(s, f"2024-01-01 {m}:00" if m else None) for s, m in part], "stage string, m string").select(
+            "stage", F.to_timestamp("m").alias("failed_at")).write.mode("append").parquet(src)
+        stream = spark.readStream.schema("stage string, failed_at timestamp").parquet(src)
+        failures.start_failure_rate(stream, out, src + "_cp").awaitTermination(120)
+        seen.append({(r.stage, r.window_start.hour): r.failures for r in failures.read_failure_rate(spark, out).collect()})
+    assert seen[0] == {("a", 0): 2} and seen[1] == {("a", 0): 2}
+    assert seen[2] == {("a", 0): 2, ("b", 2): 1, ("b", 3): 2, (None, 3): 1}
+
+
+def test_a_point_read_opens_one_bucket(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    one = t.lookups.read_key("artifacts", "GARBAGE-99")
+    bucket = f"key_bucket={t.lookups.bucket_of('GARBAGE-99')}/"
+    assert one.count() > 0 and all(bucket in name for name in one.inputFiles())
+    assert sorted(map(str, one.collect())) == sorted(map(str, t.view("artifact_docs").where(
+        "processo_id = 'GARBAGE-99'").collect()))
+
+
 def test_incremental_scoring_equals_batch(spark, sf_dir):
     t = tables(spark, sf_dir)
     half = F.pmod(F.xxhash64("processo_id"), F.lit(2))
