@@ -6,16 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pactum import constants as K
-from pactum.functions.text import grab, has, jre, literal_pattern, text_or_blank
+from pactum.functions.text import MENTION, grab, has, mentions_marked, text_or_blank
 
 
 def classify_content(snippet: Column, pid: Column) -> Column:
     """Structured block of *this* identifier, an approval act, or unknown."""
-    anchored = F.concat(
-        F.lit(jre(r"Processo\s+", "is")), literal_pattern(pid), F.lit(r"\s+1-Objeto:.*?2-Partes:")
-    )
+    anchored = rf"Processo\s+{MENTION}\s+1-Objeto:.*?2-Partes:"
     return (
-        F.when(F.rlike(snippet, anchored), K.HINT_STRUCTURED)
+        F.when(has(mentions_marked(snippet, pid), anchored, "is"), K.HINT_STRUCTURED)
         .when(has(snippet, K.ADDENDUM_WORDS, "i"), K.HINT_ADDENDUM)
         .otherwise(K.HINT_UNKNOWN)
     )

@@ -112,7 +112,17 @@ def match_start(c: Column, pattern: str, flags: str = "") -> Column:
     return F.when(has(c, pattern, flags), F.length(before))
 
 
-def literal_pattern(c: Column) -> Column:
-    """A column's text as a literal inside a regular expression."""
-    safe = F.replace(c, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-    return F.concat(F.lit("\\Q"), safe, F.lit("\\E"))
+#: Stands for a mention of an identifier; a control character that texts do not use.
+MENTION = "\x01"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def mentions_marked(text: Column, identifier: Column) -> Column:
+    """The text with each mention of the identifier, in either case of A to Z, replaced by ``MENTION``.
+
+    Everything else keeps its length, so the pieces between marks give the
+    mentions' offsets; a constant pattern can then be used for every row. A text
+    without the identifier, or an empty identifier, gives no mark.
+    """
+    fold = lambda c: F.translate(c, _UPPER + MENTION, _LOWER + " ")
+    return F.replace(fold(text), fold(identifier), F.lit(MENTION))

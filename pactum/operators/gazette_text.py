@@ -11,11 +11,11 @@ from pactum.functions.gazette import edition_number
 from pactum.functions.ids import normalise_pid
 from pactum.functions.names import split_parties
 from pactum.functions.text import (
+    MENTION,
     grab,
     has,
-    jre,
-    literal_pattern,
     match_start,
+    mentions_marked,
     squeeze,
     strip,
     truthy,
@@ -42,7 +42,7 @@ def anchored_start(text: Column, pid: Column) -> Column:
     The text between mentions gives their offsets; one pass over the mentions
     stops testing at the first that qualifies.
     """
-    pieces = F.split(text, F.concat(F.lit(jre("", "i")), literal_pattern(pid)))
+    pieces = F.split(mentions_marked(text, pid), MENTION)
     before = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0)))
 
     def near(start: Column) -> Column:
