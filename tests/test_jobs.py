@@ -168,11 +168,17 @@ def test_drift_over_many_levels_and_one_hot_portal(spark, monkeypatch):
 
 def test_hot_portal_is_spread_over_tasks(spark):
     rows = [("hot", 1_700_000_000 + i, i, {"a": i % 7 > 1}) for i in range(4000)]
-    placed = drift._placed(probes(spark, rows).withColumn("probe", drift.probe_text(F.col("selectors"))))
-    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
-    chunks = drift._chunks(placed, spark.createDataFrame([], drift.BASELINES))
-    assert len(sizes) >= 3 and max(sizes) < 2000
-    assert chunks.count() >= 4000 >> drift.CHUNK_BITS and chunks.agg(F.max(F.size("probes"))).first()[0] <= 128
+    # So few rows would otherwise be put together in one task.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = drift._placed(probes(spark, rows).withColumn("probe", drift.probe_text(F.col("selectors"))))
+        sizes = [r["count"] for r in placed.groupBy(F.shiftright("at", 33)).count().collect()]
+        chunks = drift._chunks(placed, spark.createDataFrame([], drift.BASELINES))
+        assert len(sizes) >= 3 and max(sizes) < 2000
+        assert chunks.count() >= 4000 >> drift.CHUNK_BITS
+        assert chunks.agg(F.max(F.size("probes"))).first()[0] <= 1 << drift.CHUNK_BITS
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_drift_goes_on_from_baselines(spark):
