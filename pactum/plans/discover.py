@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pactum import constants as K
@@ -26,6 +28,8 @@ from pactum.functions.text import clean_text, strip
 from pactum.operators import discovery as D
 from pactum.operators.id_search import ids_in_texts
 from pactum.plans.registry import query
+from pactum.session import checkpoint_dir
+from pactum.sources.json_arrays import read_array, write_arrays
 
 KEY = "processo_id"
 
@@ -46,6 +50,19 @@ def scan_links(t):
         F.array_join("discovery_path", " > ").alias("discovery_path"), "discovered_at")
 
 
+@query("scan_document_array", "SELECT pos, processo_id, url, company_name, contract_value, path_text AS discovery_path FROM links")
+def scan_document_array(t):
+    """Links stored as a few large documents, one array each, and read back in pieces."""
+    root = f"{checkpoint_dir(t.spark)}/pactum/{uuid.uuid4().hex}/discovery"
+    names = ["pos", KEY, "url", "company_name", "contract_value", "discovery_path"]
+    rows = t.links.select(F.pmod(F.xxhash64("pos"), F.lit(4)).alias("document"), *names)
+    write_arrays(rows, "document", "pos", root)
+    schema = rows.select(*names).schema
+    found = read_array(t.spark, f"{root}/document=*/*.txt").where("problem IS NULL")
+    return found.select(F.from_json("body", schema).alias("d")).select("d.*").withColumn(
+        "discovery_path", F.array_join("discovery_path", " > "))
+
+
 @query("scan_pids_with_fallback", "SELECT pos, processo_id FROM links WHERE processo_id <> ''")
 def scan_pids_with_fallback(t):
     files = t.contracts.select(F.lit(0).cast("bigint").alias("pos"), pid_from_file_name(
