@@ -80,6 +80,11 @@ def aggregate_report(rows: DataFrame) -> DataFrame:
         *[F.coalesce(F.sum(F.when(scored, F.col(f"{r}_score"))), F.lit(0.0)).alias(f"_{r}")
           for r in K.RULES],
     )
+    return rates(sums)
+
+
+def rates(sums: DataFrame) -> DataFrame:
+    """The report of one row of counts (``total_…``, ``n_…``) and sums (``_scores``, ``_R…``)."""
     analyzed = F.col("total_analyzed")
     return sums.select(
         "total_discovered", "total_extracted", "total_pub_found", "total_preprocessed",

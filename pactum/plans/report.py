@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pactum import constants as K
 from pactum.functions.dates import parse_dmy
 from pactum.operators import report as P
+from pactum.operators import report_totals as T
 from pactum.operators import state as S
 from pactum.operators.rules import primary_violation as first_failure
 from pactum.operators.rules import severity as severity_of
 from pactum.plans.check_sql import CHECK_VIEWS, joined_list
-from pactum.plans.registry import query
+from pactum.plans.registry import QUERIES, query
+from pactum.session import checkpoint_dir
+from pactum.sources.snapshots import Snapshots
 
 KEY = "processo_id"
 GENERATED = "2026-01-31T12:00:00"
@@ -68,7 +73,11 @@ _BASE = f"""processo_id, pipeline_stage, company_name, contract_value, contract_
 
 @query("report_join", f"SELECT {_BASE} FROM k_report")
 def report_join(t):
-    return t.report_rows.select(
+    return _base(t.report_rows)
+
+
+def _base(rows):
+    return rows.select(
         KEY, "pipeline_stage", "company_name", "contract_value", "contract_date", "publication_date",
         F.col("days_to_publish").cast("bigint").alias("days_to_publish"), "overall_status",
         "conformity_score", "agreement_level", *[f"{r}_verdict" for r in K.RULES],
@@ -258,3 +267,35 @@ def report_sheets(t):
         one = sheet.agg(F.count("*").alias("n")).select(F.lit(name).alias("sheet"), "n")
         counts = one if counts is None else counts.unionByName(one)
     return counts
+
+
+# -- totals kept from changes ---------------------------------------------------------------
+def _kept(t) -> Snapshots:
+    """Counts after two commits: drafts of some rows and rows of unknown processes come first, the
+    second one replaces, adds and drops; made once for a set of tables."""
+    if "kept_totals" not in vars(t):
+        snapshots = Snapshots(t.spark, f"{checkpoint_dir(t.spark)}/pactum/{uuid.uuid4().hex}/totals", 16)
+        rows, turn = t.report_rows, F.pmod(F.xxhash64(KEY), F.lit(10))
+        draft = rows.where(turn == 0).withColumns({
+            "overall_status": F.lit(K.STATUSES[0]), "conformity_score": F.lit(1.5), "is_scored": F.lit(True),
+            "flags": F.array(F.lit("draft"))})
+        unknown = rows.where(turn == 1).withColumn(KEY, F.concat(F.lit("unknown "), KEY))
+        T.upsert_report(snapshots, rows.where(turn > 1).unionByName(draft).unionByName(unknown))
+        T.upsert_report(snapshots, rows.where(turn < 2), unknown)
+        t.kept_totals = snapshots
+    return t.kept_totals
+
+
+@query("aggregate_report_kept", QUERIES["aggregate_report"].check)
+def aggregate_report_kept(t):
+    return T.totals(_kept(t).read(T.COUNTS))
+
+
+@query("top_flags_kept", QUERIES["top_flags"].check)
+def top_flags_kept(t):
+    return T.flag_totals(_kept(t).read(T.COUNTS))
+
+
+@query("report_rows_kept", f"SELECT {_BASE} FROM k_report")
+def report_rows_kept(t):
+    return _base(_kept(t).read(T.ROWS))
