@@ -30,6 +30,7 @@ _BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"  # of a part that h
 TERM = r"[\p{L}\p{N}]+"
 _BREAK = r"[^\p{L}\p{N}]+"
 
+BLOCK = 1 << 14  # characters of a text's blocks
 WINDOW = 3  # terms on either side of a mention
 THRESHOLD = 0.9
 MIN_DOCS = 3  # distinct texts that must show a term beside an entity
@@ -59,23 +60,51 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, join) -> Column:
+    """For each number, those before it joined by ``join`` (a sum, a maximum), starting from 0.
+
+    Growing a list copies it, so the join runs inside chunks of about the square
+    root of the list, and over the chunks.
+    """
+    def running(list_):
+        return F.aggregate(list_, F.array(F.lit(0)), lambda acc, v: F.array_append(
+            acc, join(F.element_at(acc, -1), v)))
+
+    def inside(x):
+        return F.transform(
+            F.sequence(F.lit(0), F.ceil(F.size(x["n"]) / x["k"]).cast("int") - 1),
+            lambda c: running(F.slice(x["n"], c * x["k"] + 1, x["k"])))
+
+    def joined(chunks):
+        ends = running(F.transform(chunks, lambda c: F.element_at(c, -1)))
+        return _let(ends, lambda e: F.flatten(F.transform(chunks, lambda c, i: F.transform(
+            F.slice(c, F.lit(1), F.size(c) - 1), lambda v: join(v, F.get(e, i))))))
+
+    chunk = F.ceil(F.sqrt(F.size(values))).cast("int")
+    found = _let(F.struct(values.alias("n"), chunk.alias("k")), lambda x: _let(inside(x), joined))
+    return F.when(F.size(values) > 0, found).otherwise(F.array().cast("array<int>"))
+
+
 def _places(text: Column, pattern: str | Column) -> Column:
     """Matches of a pattern with their code-point offsets, from the pieces between them."""
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     values = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    ends = F.aggregate(
-        F.transform(values, lambda v, i: F.struct(v.alias("v"), F.get(gaps, i).alias("g"))),
-        F.struct(F.lit(0).alias("at"),
-                 F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found")),
-        lambda acc, m: F.struct(
-            (acc["at"] + m["g"] + F.length(m["v"])).alias("at"),
-            F.concat(acc["found"], F.array(F.struct(
-                (acc["at"] + m["g"]).alias("start"),
-                (acc["at"] + m["g"] + F.length(m["v"])).alias("end"), m["v"].alias("value"),
-            ))).alias("found")),
-    )
-    return ends["found"]
+    pairs = F.filter(F.arrays_zip(values.alias("v"), gaps.alias("g")), lambda m: m["v"].isNotNull())
+
+    def placed(m):
+        return _let(_before(F.transform(
+            m, lambda x: x["g"] + F.length(x["v"])), lambda a, b: a + b), lambda before: F.transform(
+            m, lambda x, i: F.struct(
+                (F.get(before, i) + x["g"]).alias("start"),
+                (F.get(before, i) + x["g"] + F.length(x["v"])).alias("end"), x["v"].alias("value"))))
+
+    return _let(pairs, placed)
 
 
 def _kind_spans(text: Column, kind: str) -> Column:
@@ -114,17 +143,24 @@ def _beside(text: Column, base: Column) -> Column:
     """(entity, term): terms within the window on either side of each mention."""
     around = 30 * WINDOW  # characters looked at; they hold the window of ordinary words
 
-    def near(s):
-        left = F.substr(text, F.greatest(F.lit(1), s["start"] + 1 - around),
-                        F.least(s["start"], F.lit(around)))
-        right = F.substr(text, s["end"] + 1, F.lit(around))
-        words = F.concat(F.slice(F.reverse(_terms_of(left)), 1, WINDOW),
-                         F.slice(_terms_of(right), 1, WINDOW))
+    # A place deep in a text is found by counting from the text's start, so it is cut into blocks first.
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor(F.length(text) / BLOCK).cast("int")),
+        lambda i: F.substr(text, i * BLOCK + 1, F.lit(BLOCK + around)))
+
+    def near(s, cut):
+        left = F.greatest(F.lit(0), s["start"] - around)
+        words = F.concat(F.slice(F.reverse(_terms_of(cut(left, s["start"] - left))), 1, WINDOW),
+                         F.slice(_terms_of(cut(s["end"], F.lit(around))), 1, WINDOW))
         entity = F.concat_ws(":", s["kind"], s["value"])
         return F.transform(F.array_distinct(words), lambda w: F.struct(
             entity.alias("entity"), w.alias("term")))
 
-    return F.flatten(F.transform(base, near))
+    def cut_from(parts):
+        return lambda at, size: F.substr(
+            F.get(parts, F.floor(at / BLOCK).cast("int")), at % BLOCK + 1, size)
+
+    return _let(blocks, lambda parts: F.flatten(F.transform(base, lambda s: near(s, cut_from(parts)))))
 
 
 def find_base(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -245,17 +281,15 @@ def redact(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "row", "_text", *_keys(F.col("_text")), base_spans(F.col("_text")).alias("base"))
     marked = body.join(terms, KEY, "left").withColumn("all", F.array_sort(F.transform(
         _all_spans(), lambda s: F.struct(s["start"], s["end"], s["kind"]))))
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    text = F.col("_text")
-    done = F.aggregate("all", state, lambda acc, s: F.when(
-        s["end"] <= acc["at"], acc).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.when(s["start"] < acc["at"], acc["parts"]).otherwise(F.concat(
-                acc["parts"],
-                F.array(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]),
-                        F.element_at(F.array(*[F.lit(LABELS[k]) for k in KINDS]), s["kind"] + 1)),
-            )).alias("parts"))))
-    new = F.concat(F.array_join(done["parts"], ""), F.substr(text, done["at"] + 1))
+    text, labels = F.col("_text"), F.array(*[F.lit(LABELS[k]) for k in KINDS])
+    # Where the spans before each one end; it is replaced if it begins there or later.
+    done = F.col("done")
+    marked = marked.withColumn("done", _before(F.transform("all", lambda s: s["end"]), F.greatest))
+    parts = F.transform("all", lambda s, i: F.when(s["start"] >= F.get(done, i), F.concat(
+        F.substr(text, F.get(done, i) + 1, s["start"] - F.get(done, i)),
+        F.element_at(labels, s["kind"] + 1))).otherwise(""))
+    last = F.array_max(F.transform("all", lambda s: s["end"]))
+    new = F.concat(F.array_join(parts, ""), F.substr(text, last + 1))
     rewritten = F.when(F.size("all") == 0, F.col("row.text")).otherwise(new)
     return marked.select(*[
         (rewritten if c == "text" else F.col("row")[c]).alias(c) for c in columns])

@@ -182,6 +182,19 @@ def test_addresses_with_zero_parts(spark):
     assert pii.redact(rows).head().text == "[IP] [IP] [IP] [IP] [IP] 010.256.0.1 1.2.3.000256 [IP]"
 
 
+def test_many_matches_in_one_text(spark):
+    text = "é " + " ".join(f"user{i}@host{i}.example near {i}" for i in range(4000)) + " end"
+    docs = [(1, text), (2, "a@b.c"), (3, "x@y.z, +12 345 678 901")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.personal_data(rows).collect()}
+    for i, t in docs:
+        want = ",".join(plain_spans(t))
+        assert got[i].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    clean = {r.doc_id: r.text for r in pii.redact(rows).collect()}
+    assert clean[1] == "é " + " ".join(f"[EMAIL] near {i}" for i in range(4000)) + " end"
+    assert (clean[2], clean[3]) == ("[EMAIL]", "[EMAIL], [PHONE]")
+
+
 def disclosure_docs():
     rng = random.Random(1)
     common = ["river", "stone", "market", "letter", "garden", "window", "summer", "bread"]
