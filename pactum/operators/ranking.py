@@ -48,14 +48,21 @@ def pick_last(df: DataFrame, keys: list[str], order: Column, *extra: Column) ->
 
 
 def last_per_process(df: DataFrame, key: str = "processo_id", order: str = "written_at") -> DataFrame:
-    """The last row of each process by ``order``; rows without one are ranked by their content.
+    """The row of each process that was written last, by ``order``, which the rows must carry.
 
-    A hash of the content decides ties as well, so the result does not depend on row order.
+    Rows written at the same time are ranked by their content, so the result
+    does not depend on row order.
     """
-    rest = [c for c in df.columns if c != key]
-    content = F.to_json(F.struct(*[F.col(c) for c in rest]))
-    rank = F.struct(*[F.col(order)] if order in df.columns else [], F.xxhash64(content))
-    return pick_last(df, [key], rank).select(*df.columns)
+    if order not in df.columns:
+        raise ValueError(f"rows without {order} have no last one")
+    content = [F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f.name)
+               for f in df.schema if f.name not in (key, order)]
+    return pick_last(df, [key], F.struct(F.col(order), F.xxhash64(*content))).select(*df.columns)
+
+
+def written(rows: DataFrame, at: int) -> DataFrame:
+    """Rows with the number of the write they come from."""
+    return rows.withColumn("written_at", F.lit(at))
 
 
 def _pick(df, keys, pick, order, extra) -> DataFrame:

@@ -13,7 +13,7 @@ from pactum.operators import compliance as C
 from pactum.operators import conformity as S
 from pactum.operators import rules as R
 from pactum.operators.diagnostic import values_match
-from pactum.operators.ranking import global_rank, last_per_process
+from pactum.operators.ranking import global_rank, last_per_process, written
 from pactum.plans.check_sql import brl_sql, date_sql, joined_list, name_sql, same_sql, score_sql
 from pactum.plans.registry import query
 
@@ -438,7 +438,9 @@ def all_alerts_ordered(t):
         F.when(~ok, F.col("conformity_score")),
         F.col(KEY),
     ]
-    last = last_per_process(t.alerts.select(KEY, "alert_level", "conformity_score"))
+    alerts = t.alerts.select(KEY, "alert_level", "conformity_score")
+    early = alerts.where(F.pmod(F.xxhash64(KEY), F.lit(20)) == 0).withColumn("alert_level", F.lit("FAILED"))
+    last = last_per_process(written(early, 1).unionByName(written(alerts, 2)))
     ranked = global_rank(last, order, "position")
     return ranked.select(KEY, "alert_level", "position")
 

@@ -11,7 +11,13 @@ import compare
 import __spark_entry__ as entry
 from pactum import schemas
 from pactum.operators.discovery import discovery_metadata
-from pactum.operators.ranking import global_rank, last_per_process, pick_first, running_index
+from pactum.operators.ranking import (
+    global_rank,
+    last_per_process,
+    pick_first,
+    running_index,
+    written,
+)
 from pactum.operators.report import report_rows
 from pactum.operators.runs import resolve_failures
 from pactum.operators.state import COMPLIANCE_DOCUMENT, parse_documents
@@ -66,14 +72,15 @@ def test_last_row_of_a_process_wins(spark):
         [("a", "x", 1), ("a", "y", 2), ("b", "z", 1)], "processo_id string, v string, written_at int")
     for df in (rows, rows.orderBy(F.desc("v"))):
         assert {r.processo_id: r.v for r in last_per_process(df).collect()} == {"a": "y", "b": "z"}
-    assert last_per_process(rows.drop("written_at")).count() == 2
+    with pytest.raises(ValueError):
+        last_per_process(rows.drop("written_at"))
 
 
 def test_report_rows_do_not_multiply(spark, sf_dir):
     t = tables(spark, sf_dir)
     sides = (t.state, t.conformity.union(t.conformity), discovery_metadata(t.links), t.publications,
              t.contracts.union(t.contracts))
-    assert report_rows(*sides).count() == t.state.count()
+    assert report_rows(sides[0], *[written(s, 1) for s in sides[1:]]).count() == t.state.count()
 
 
 def test_append_refuses_other_shapes(spark):
