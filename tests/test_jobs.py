@@ -392,3 +392,11 @@ def test_each_contract_gets_one_row_and_one_status(spark, sf_dir):
         F.count_if(F.col("overall_status").isin("CONFORME", "PARCIAL", "NÃO CONFORME", "INCOMPLETE")).alias("s"),
     ).head()
     assert (row.n, row.d, row.s) == (n, n, n)
+
+
+def test_rows_of_one_row_group_are_spread_over_many_tasks(spark):
+    t = tables(spark, "/root/testdata/sf0.01")
+    for rows in (t.contract_docs, t.view("gazette_docs"), t.contracts, t.answers):
+        shares = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert len(shares) >= 8
+        assert max(shares) < sum(shares) / 4
