@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pactum import constants as K
 from pactum.functions import ids, names
 from pactum.functions import text as X
+from pactum.functions.dates import masthead_date
 from pactum.functions.gazette import classify_content, publication_metadata
 from pactum.operators.contract_text import preprocess_contracts
 from pactum.operators.diagnostic import values_match
@@ -192,3 +194,32 @@ def test_merged_parts_equal_the_plain_join(spark):
         assert got[key].total_chars == len(text.strip()), key
         assert got[key].quality_passes == (len(text.strip()) >= 500)
     assert (got["a"].page_count, got["a"].pdf_size_bytes) == (6, 40)
+
+
+def test_guarded_patterns_match_as_plain_ones(spark):
+    words = ["ſegunda-feira, 3 de março de 2026", "Sábado 1 de maio de 2020", "ınstrumento: contrato nº 123/2024",
+             "İNSTRUMENTO contrato n 1234/2024", "extrato do contrato", "d.o.rio", "1 - objeto: a 2 - partes: b e c 3-",
+             "4-data: 1/2/2024 5-valor r$ 3,00", "PARTES: A e B", "objeto: x\nvalor", "VALOR TOTAL: R$ 2", "Edição 123",
+             "no 1234", "entre si celebram a Companhia Municipal, Empresa de Filmes", "Termo Aditivo", "aditamento",
+             "de um lado, a Companhia Municipal, neste ato, e a empresa Filmes Ltda", "CONTRATO Nº 12345/2024",
+             "Processo n 12/2024", "Aos 3 dias do mês de maio do ano de 2024", "Contratante: Companhia Municipal",
+             "Data da Assinatura: 1/2/2024", "publicado em: 01/02/2024 - Edição 12 - Pág. 3", "OBJETO: lote\nValor",
+             "Aos 3 dias do mês de maio, a Companhia Municipal, CNPJ 1, e a empresa Filmes Ltda",
+             "CONTRATANTE: Companhia", "CONTRATADA: Empresa Filmes", "Contratada: Empresa Filmes"]
+    texts = spark.createDataFrame([(f"ação {w}.", ) for w in words] + [("x " + " ".join(words),)], "t string")
+    for pattern in K.FIRST_LETTERS:
+        for flags in ("", "i", "is"):
+            plain = f"(?{flags}{'u' if 'i' in flags else ''}dU){pattern}"
+            row = texts.select(
+                F.count_if(F.regexp_extract("t", X.jre(pattern, flags), 0) != F.regexp_extract("t", plain, 0)).alias("other"),
+                F.count_if(F.rlike("t", F.lit(plain))).alias("hits")).first()
+            assert row["other"] == 0, pattern
+        assert row["hits"] > 0, pattern
+
+
+def test_capture_searches_once_inside_branches(spark):
+    rows = spark.createDataFrame([("Sábado, 3 de março de 2026", False)], "t string, skip boolean")
+    got = rows.select(F.when(F.col("skip"), "").otherwise(masthead_date(F.col("t"))).alias("d"))
+    assert got.first()["d"] == "03/03/2026"
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("regexp_extract(t") == 1
