@@ -8,7 +8,7 @@ from pactum.functions import ids, names
 from pactum.functions import text as X
 from pactum.functions.dates import masthead_date
 from pactum.functions.gazette import classify_content, publication_metadata
-from pactum.operators.contract_text import preprocess_contracts
+from pactum.operators.contract_text import preprocess_contracts, remove_noise
 from pactum.operators.diagnostic import values_match
 from pactum.operators.gazette_text import parse_gazette, with_block
 from pactum.operators.runs import merge_parts, merged_measures, with_quality
@@ -205,7 +205,8 @@ def test_guarded_patterns_match_as_plain_ones(spark):
              "Processo n 12/2024", "Aos 3 dias do mês de maio do ano de 2024", "Contratante: Companhia Municipal",
              "Data da Assinatura: 1/2/2024", "publicado em: 01/02/2024 - Edição 12 - Pág. 3", "OBJETO: lote\nValor",
              "Aos 3 dias do mês de maio, a Companhia Municipal, CNPJ 1, e a empresa Filmes Ltda",
-             "CONTRATANTE: Companhia", "CONTRATADA: Empresa Filmes", "Contratada: Empresa Filmes"]
+             "Documento Nº: 12345-2024 - consulta x", "https://acesso.processo.rio/sigaex/public/app/autenticar?a",
+             "FILCAP123456789", "Página 1 de 3", "CONTRATANTE: Companhia", "CONTRATADA: Empresa Filmes", "Contratada: Empresa Filmes"]
     texts = spark.createDataFrame([(f"ação {w}.", ) for w in words] + [("x " + " ".join(words),)], "t string")
     for pattern in K.FIRST_LETTERS:
         for flags in ("", "i", "is"):
@@ -217,6 +218,16 @@ def test_guarded_patterns_match_as_plain_ones(spark):
         assert row["hits"] > 0, pattern
 
 
+def test_noise_is_searched_only_in_texts_that_can_hold_it(spark):
+    signed = "Assinado com senha por FULANO DE TAL 01/02/2024 às 10:11:12."
+    heads = ["Rua Central\nTel. 123\nfim", "Rua Central\nCEP 20000\nfim", "Rua Central\nTEL 1\nfim", signed, "nada", None]
+    rows = spark.createDataFrame([(t,) for t in heads], "raw_text string")
+    got = [r["clean_text"] for r in remove_noise(rows, "raw_text").collect()]
+    assert got == ["fim", "fim", "Rua Central\nTEL 1\nfim", "", "nada", None]
+    plan = remove_noise(rows, "raw_text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Contains(") == 3
+
+
 def test_capture_searches_once_inside_branches(spark):
     rows = spark.createDataFrame([("Sábado, 3 de março de 2026", False)], "t string, skip boolean")
     got = rows.select(F.when(F.col("skip"), "").otherwise(masthead_date(F.col("t"))).alias("d"))
