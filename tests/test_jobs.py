@@ -11,6 +11,7 @@ import compare
 import __spark_entry__ as entry
 from pactum import schemas
 from pactum.operators.discovery import discovery_metadata
+from pactum.operators.evaluate import compliance_stage
 from pactum.operators.ranking import (
     global_rank,
     last_per_process,
@@ -400,3 +401,15 @@ def test_rows_of_one_row_group_are_spread_over_many_tasks(spark):
         shares = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
         assert len(shares) >= 8
         assert max(shares) < sum(shares) / 4
+
+
+def test_stage_tables_meet_without_moving_their_rows(spark, sf_dir):
+    """Only publications, which are kept by their lines, are dealt by process again."""
+    t = tables(spark, sf_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = compliance_stage(t.contracts, t.publications, t.raw_texts, t.answers)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(processo_id") <= 1
