@@ -20,7 +20,7 @@ from pactum.operators.ranking import (
     written,
 )
 from pactum.operators.report import report_rows
-from pactum.operators.runs import resolve_failures
+from pactum.operators.runs import contract_records, resolve_failures
 from pactum.operators.state import COMPLIANCE_DOCUMENT, parse_documents
 from pactum.sources import stage_store as store
 from pactum.sources.domain import tables
@@ -413,3 +413,17 @@ def test_stage_tables_meet_without_moving_their_rows(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning(processo_id") <= 1
+
+
+def test_contract_texts_are_measured_before_the_join(spark):
+    links = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "processo_id string, pos long")
+    texts = spark.createDataFrame(
+        [("a", " x y\x1cz \n", "ocr"), ("b", None, None)],
+        "processo_id string, raw_text string, extraction_method string")
+    found = contract_records(links, texts)
+    assert found.select("pos", "total_chars", "total_words", "extraction_method").orderBy("pos").collect() == [
+        (1, 5, 3, "ocr"), (2, 5, 3, "ocr"), (3, None, 0, "unknown")]
+    assert found.where("pos = 1").first()["raw_text"] == " x y\x1cz \n"
+    narrow = found.select("pos", "total_chars", "total_words")
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    assert "raw_text" not in plan.partition("Join")[0]
