@@ -427,3 +427,10 @@ def test_contract_texts_are_measured_before_the_join(spark):
     narrow = found.select("pos", "total_chars", "total_words")
     plan = narrow._jdf.queryExecution().optimizedPlan().toString()
     assert "raw_text" not in plan.partition("Join")[0]
+
+
+def test_unions_of_spread_tables_take_no_more_tasks_than_one(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    one = t.view("seed").rdd.getNumPartitions()
+    assert t.links.rdd.getNumPartitions() <= one
+    assert t.view("artifact_docs").rdd.getNumPartitions() <= one
