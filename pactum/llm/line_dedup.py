@@ -32,6 +32,7 @@ MIN_PLACES = 5  # different texts or surroundings in which a template must stand
 SIMILARITY = 0.8  # share of constant tokens
 SHARES = [0.0, 1 / 128, 1 / 32, 1 / 8, 1 / 2]  # of a leaf, held by a constant; MIN_PLACES at least
 VARIABLE = "<*>"
+NO_LEAF = 0  # of lines that can be no template
 
 LINE = ["h1", "h2"]
 TEMPLATE = ["leaf", "level", "t1", "t2", "constants"]
@@ -48,7 +49,7 @@ def _masked(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: (doc_id, tie, pos, line, place, leaf).
+    """One row per line: (doc_id, tie, pos, line, place, leaf).
 
     Blank lines and one or two variable fields alone (numbers in a column) are no
     template.
@@ -65,18 +66,22 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _placed(lines: DataFrame) -> DataFrame:
-    """Masked lines that can be a template, with their leaf."""
+    """Masked lines with their leaf, ``NO_LEAF`` where they can be no template.
+
+    They are not filtered here: a filter would be pushed below the masking and mask each line again.
+    """
     tokens = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     fields = F.col("line").isin("", VARIABLE, f"{VARIABLE} {VARIABLE}")
-    return lines.withColumn("tokens", tokens).where((F.col("tokens") >= MIN_TOKENS) & ~fields).withColumn(
-        "leaf", F.xxhash64("tokens", F.substring_index("line", " ", DEPTH))).drop("tokens")
+    leaf = F.when((F.col("tokens") >= MIN_TOKENS) & ~fields, F.xxhash64(
+        "tokens", F.substring_index("line", " ", DEPTH))).otherwise(F.lit(NO_LEAF).cast("long"))
+    return lines.withColumn("tokens", tokens).withColumn("leaf", leaf).drop("tokens")
 
 
 def _crowded(docs: DataFrame) -> DataFrame:
     """Lines in leaves that hold enough lines to repeat a template often enough."""
     raw = docs.select(F.explode(F.split(_body(), "\n")).alias("line"))
     bare = _placed(raw.select(_masked(F.col("line")).alias("line")))
-    leaves = store(bare.groupBy("leaf").agg(F.count("*").alias("n")).where(
+    leaves = store(bare.groupBy("leaf").agg(F.count_if(F.col("leaf") != NO_LEAF).alias("n")).where(
         F.col("n") >= MIN_PLACES).select("leaf"), "leaves")
     bits = F.broadcast(membership(leaves, F.col("leaf")))  # fixed size
     likely = _lines(docs).crossJoin(bits).where(may_hold(F.col("bits"), F.col("leaf"))).drop("bits")

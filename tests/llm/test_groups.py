@@ -422,6 +422,13 @@ def test_pipeline_of_edge_rows(spark):
     assert docs.count() == 0
 
 
+def test_each_line_is_masked_once(spark):
+    docs = spark.createDataFrame([("a", "x 1\n2\ny")], "doc_id string, text string")
+    leaves = line_dedup._lines(docs).groupBy("leaf").count()
+    plan = leaves._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("regexp_replace") == 1
+
+
 def test_every_operator_has_one_query():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
     assert sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in names) == list(range(1, 11))
