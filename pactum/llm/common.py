@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Hashable, Iterator
 from itertools import repeat
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pactum.sources.stage_store import store
 
 __all__ = ["documents", "store", "text_slices", "Memo", "ragged_append", "ragged_gather",
-           "membership", "may_hold"]
+           "membership", "may_hold", "released"]
 
 #: Characters of text that a Python worker handles at once; one longer text is handled alone.
 SLICE_CHARS = 4_000_000
@@ -47,6 +48,21 @@ def _cut(batch, column, first, last):
     return part, [t if t is not None else "" for t in part.column(column).to_pylist()]
 
 
+def released(run: Callable) -> Callable:
+    """``run`` over batches; freed memory then goes back to the system.
+
+    Idle workers wait beside the stages that follow, with all that their
+    allocators still hold.
+    """
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return whole
+
+
 class Memo:
     """Codes of units, and arrays with one value per code, kept from slice to slice.
 
@@ -99,29 +115,30 @@ def ragged_gather(values: np.ndarray, offsets: np.ndarray, pick: np.ndarray):
 FILTER_WORDS = 1 << 17
 
 
-def _bit(hash_: Column) -> tuple[Column, Column]:
-    place = F.pmod(hash_, F.lit(64 * FILTER_WORDS))
+def _bit(hash_: Column, words: int) -> tuple[Column, Column]:
+    place = F.pmod(hash_, F.lit(64 * words))
     return F.floor(place / 64).cast("int"), (place % 64).cast("int")
 
 
-def membership(rows: DataFrame, hash_: Column) -> DataFrame:
+def membership(rows: DataFrame, hash_: Column, words: int = FILTER_WORDS) -> DataFrame:
     """One row ``bits``: an array of fixed size in which the bit of every member's hash is set.
 
-    Broadcasting it is bounded by ``FILTER_WORDS``. It only thins out what an
-    exact join then decides; the fuller it is, the less it thins out.
+    Broadcasting it is bounded by ``words``. It only thins out what an exact
+    join then decides; the fuller it is, the less it thins out. Where the array
+    stands beside rows as a column, it is copied for each of them.
     """
-    word, bit = _bit(hash_)
+    word, bit = _bit(hash_, words)
     one = F.lit(1).cast("long")
     used = rows.select(word.alias("id"), F.call_function("shiftleft", one, bit).alias("mask")).groupBy(
         "id").agg(F.bit_or("mask").alias("mask"))
-    slots = rows.sparkSession.range(FILTER_WORDS).select(F.col("id").cast("int").alias("id"))
+    slots = rows.sparkSession.range(words).select(F.col("id").cast("int").alias("id"))
     masks = slots.join(used, "id", "left").select(
         F.struct("id", F.coalesce("mask", F.lit(0).cast("long")).alias("mask")).alias("slot"))
     return masks.agg(F.transform(F.array_sort(F.collect_list("slot")), lambda s: s["mask"]).alias("bits"))
 
 
-def may_hold(bits: Column, hash_: Column) -> Column:
+def may_hold(bits: Column, hash_: Column, words: int = FILTER_WORDS) -> Column:
     """False only where the hash is no member's."""
-    word, bit = _bit(hash_)
+    word, bit = _bit(hash_, words)
     return F.call_function("shiftright", F.get(bits, word), bit).bitwiseAND(
         F.lit(1).cast("long")) == 1

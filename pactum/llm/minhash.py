@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.common import store, text_slices
+from pactum.llm.common import released, store, text_slices
 from pactum.llm.components import components
 
 HASHES = 128
@@ -92,7 +92,7 @@ def signatures(docs: DataFrame, width: int, hashes: int = HASHES) -> DataFrame:
             ], names=["doc_id", "n_shingles", "set_key", "signature"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, signature binary")
+        released(run), "doc_id long, n_shingles long, set_key binary, signature binary")
 
 
 def _profiles(docs: DataFrame, nodes: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -107,7 +107,7 @@ def _profiles(docs: DataFrame, nodes: DataFrame, ids: DataFrame, width: int) ->
 
     named = docs.select("doc_id", "text").join(
         ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    made = named.mapInArrow(run, "id long, set_key binary, shingles binary")
+    made = named.mapInArrow(released(run), "id long, set_key binary, shingles binary")
     single = made.groupBy("id", "set_key").agg(F.first("shingles").alias("shingles"))
     return nodes.join(single, ["id", "set_key"]).select("id", "n_shingles", "signature", "shingles")
 
@@ -138,7 +138,7 @@ def _confirm(links: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
                     percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(released(run), "a long, b long")
 
 
 _WIDE = "decimal(38,0)"
@@ -218,7 +218,7 @@ def _across(members: DataFrame, labels: DataFrame, profiles: DataFrame, percent:
                     {"a": pa.array([a for a, _ in links], pa.int64()),
                      "b": pa.array([b for _, b in links], pa.int64())})
 
-    return filled.select("band", "group", "rows").mapInArrow(run, "a long, b long")
+    return filled.select("band", "group", "rows").mapInArrow(released(run), "a long, b long")
 
 
 def _compare(band: int, group: dict, rows: list[dict], percent: int) -> list[tuple[int, int]]:

@@ -34,6 +34,8 @@ BLOCK = 1 << 14  # characters of a text's blocks
 WINDOW = 3  # terms on either side of a mention
 THRESHOLD = 0.9
 MIN_DOCS = 3  # distinct texts that must show a term beside an entity
+#: Of the bit array of terms, which is copied for each text: 128 KB, below the JVM's outsized objects.
+TERM_WORDS = 1 << 14
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 _SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
 
@@ -207,9 +209,9 @@ def _hits(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
     Each task drops the words that a bit array of fixed size excludes, so the
     exact join that follows sees few others.
     """
-    bits = F.broadcast(membership(terms, F.xxhash64("term")))
+    bits = F.broadcast(membership(terms, F.xxhash64("term"), TERM_WORDS))
     words = F.array_distinct(F.transform(F.split("_text", _BREAK), F.lower))
-    likely = F.filter(words, lambda w: may_hold(F.col("bits"), F.xxhash64(w)))
+    likely = F.filter(words, lambda w: may_hold(F.col("bits"), F.xxhash64(w), TERM_WORDS))
     return docs.select(_body(text).alias("_text")).crossJoin(bits).select(
         "_text", F.explode(likely).alias("term"))
 

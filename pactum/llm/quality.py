@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.common import Memo, ragged_append, ragged_gather, text_slices
+from pactum.llm.common import Memo, ragged_append, ragged_gather, released, text_slices
 
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
@@ -228,7 +228,7 @@ def quality(
             yield pa.RecordBatch.from_arrays(
                 [part.column(i) for i in range(len(carry))] + found, names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(released(run), schema)
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:

@@ -5,12 +5,13 @@ import math
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pactum.llm import bpe, pii, quality, secrets_scan, toxicity, url_filter
+from pactum.llm import bpe, common, pii, quality, secrets_scan, toxicity, url_filter
 
 #: Null id, null and empty texts, a repeated row, a long text, and columns named like helpers.
 EDGE = [
@@ -220,6 +221,21 @@ def test_disclosing_terms_are_found(spark):
     assert clean[30] == dict(disclosure_docs())[30]
 
 
+def test_the_bits_beside_each_text_are_few(spark, monkeypatch):
+    made, plain = [], pii.membership
+    monkeypatch.setattr(pii, "membership", lambda *a, **k: made.append(plain(*a, **k)) or made[-1])
+    rows = spark.createDataFrame(disclosure_docs(), "doc_id long, text string")
+    assert pii.personal_data(rows).where("n_term > 0").count() == 6
+    assert made and all(8 * len(m.first().bits) <= 1 << 17 for m in made)
+
+
+def test_workers_give_memory_back(monkeypatch):
+    trimmed = []
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda _: SimpleNamespace(malloc_trim=trimmed.append))
+    assert list(common.released(iter)([1, 2])) == [1, 2]
+    assert trimmed == [0]
+
+
 def test_personal_data_of_edge_rows(spark):
     got = pii.personal_data(edge(spark)).collect()
     assert len(got) == len(EDGE)
