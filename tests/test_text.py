@@ -154,6 +154,21 @@ def test_block_takes_the_mention_near_a_trigger(spark):
     assert block == far[at - 600:at + 800]
 
 
+def test_first_mention_is_where_the_marks_begin(spark):
+    rows = [("ab", "xxAByy"), ("a.b", "axb a.b"), ("12", "é İ 12"), (r"q\Ez", r"..Q\EZ"), ("É1", "...é1 É1"), ("", "t"), ("no", "t")]
+    df = spark.createDataFrame(rows, "i string, t string")
+    marked, at = X.mentions_marked(F.col("t"), F.col("i")), X.first_mention(F.col("t"), F.col("i"))
+    for r in df.select("t", marked.alias("m"), at.alias("at")).collect():
+        assert r.at == r.m.find(X.MENTION)
+
+
+def test_a_later_mention_near_a_trigger_is_taken(spark):
+    text = "P-1 " + "x " * 600 + "extrato  de contrato p-1" + " y" * 500
+    block = with_block(spark.createDataFrame([("P-1", text)], "p string, t string"), "t", "p").head()._block
+    start = text.index("p-1")
+    assert block == text[start - K.BLOCK_BACK_CHARS:start + K.BLOCK_FORWARD_CHARS]
+
+
 def test_preprocess_contract(spark):
     text = CONTRACT + "\n" + MASTHEAD + LABELLED
     df = preprocess_contracts(spark.createDataFrame(
