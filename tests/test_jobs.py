@@ -23,7 +23,8 @@ from pactum.operators.report import report_rows
 from pactum.operators.runs import contract_records, resolve_failures
 from pactum.operators.state import COMPLIANCE_DOCUMENT, parse_documents
 from pactum.sources import stage_store as store
-from pactum.sources.domain import tables
+from pactum.plans.registry import QUERIES
+from pactum.sources.domain import Tables, tables
 from pactum.sources.snapshots import Change, Conflict, Snapshots
 from pactum.streaming import drift, failures, scoring
 
@@ -434,3 +435,13 @@ def test_unions_of_spread_tables_take_no_more_tasks_than_one(spark, sf_dir):
     one = t.view("seed").rdd.getNumPartitions()
     assert t.links.rdd.getNumPartitions() <= one
     assert t.view("artifact_docs").rdd.getNumPartitions() <= one
+
+
+def test_a_sink_commits_its_own_table_only(spark, sf_dir):
+    entry.queries()
+    t = Tables(spark, sf_dir)
+    rows = QUERIES["sink_raw"].build(t)
+    QUERIES["sink_publications"].build(t)
+    assert [set(s.manifest()) for s in t.published_tables.values()] == [{"raw"}, {"publications"}]
+    assert rows.count() == t.contract_docs.count()
+    assert not {"preprocessed", "parsed_documents", "compliance"} & set(vars(t))
