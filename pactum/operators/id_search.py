@@ -3,11 +3,11 @@
 Every text is looked up for every identifier, without comparing all pairs. A
 spelling is cut into runs of letters and digits. A run inside the spelling must
 be a whole run of the text; the first one only has to end a run, the last one
-to begin one, a spelling that is one run may lie anywhere inside one. Texts are
-indexed by their runs, and by the ends, beginnings and inner parts of runs in
-the lengths that spellings need. A spelling with a part that no text has is
-dropped; any other is looked up by its rarest part, and the texts found are
-tested for the whole spelling.
+to begin one, a spelling that is one run may lie anywhere inside one. Only the
+distinct runs of all texts are cut into ends, beginnings and inner parts, in the
+lengths that spellings need. A spelling with a part that no run has is dropped;
+any other is looked up by its rarest part, through the runs that hold it, and
+the texts found are tested for the whole spelling.
 
 Spellings without a letter or digit are never looked for; null texts hold
 nothing. Upper and lower case count alike.
@@ -23,6 +23,8 @@ from pactum.sources.stage_store import store
 
 RUN = r"[\p{L}\p{N}]+"
 WHOLE, END, BEGIN, INSIDE = "whole", "end", "begin", "inside"
+#: So many of the commonest runs that lead to no spelling are dropped before runs and spellings meet.
+IDLE = 1 << 14
 
 
 def _runs(text: Column) -> Column:
@@ -48,26 +50,34 @@ def _parts(spelled: DataFrame) -> DataFrame:
     return each.select("id", "rank", "spelling", kind.alias("kind"), "part")
 
 
-def _index(texts: DataFrame, page: str, text: str, parts: DataFrame) -> DataFrame:
-    """(page, kind, part) of all runs of the texts, and of their parts in the lengths that are asked for."""
+def _entries(runs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(run, pages, kind, part): what each distinct run of the texts holds, in the lengths that are asked for."""
     # One row; as many lengths as identifiers have characters.
     lengths = parts.groupBy().agg(*[
         F.sort_array(F.collect_set(F.when(F.col("kind") == k, F.length("part")))).alias(k)
         for k in (END, BEGIN, INSIDE)])
-    tokens = texts.select(F.col(page).alias("page"), F.explode(
-        F.array_distinct(_runs(F.lower(text)))).alias("run"))
     n = F.length("run")
     fits = lambda kind: F.filter(kind, lambda size: size <= n)
     entry = lambda kind, part: F.struct(F.lit(kind).alias("kind"), part.alias("part"))
     run = F.col("run")
-    entries = F.concat(
+    held = F.concat(
         F.array(entry(WHOLE, run)),
         F.transform(fits(END), lambda size: entry(END, F.substring(run, n - size + 1, size))),
         F.transform(fits(BEGIN), lambda size: entry(BEGIN, F.substring(run, F.lit(1), size))),
-        F.flatten(F.transform(fits(INSIDE), lambda size: F.transform(
-            F.sequence(F.lit(1), n - size + 1), lambda at: entry(INSIDE, F.substring(run, at, size))))))
-    return tokens.crossJoin(F.broadcast(lengths)).select("page", F.explode(entries).alias("e")).select(
-        "page", "e.*").distinct()
+        F.array_distinct(F.flatten(F.transform(fits(INSIDE), lambda size: F.transform(
+            F.sequence(F.lit(1), n - size + 1), lambda at: entry(INSIDE, F.substring(run, at, size)))))))
+    return runs.crossJoin(F.broadcast(lengths)).select("run", "pages", F.explode(held).alias("e")).select(
+        "run", "pages", "e.*")
+
+
+def _leads(parts: DataFrame, runs: DataFrame) -> DataFrame:
+    """(run, id, rank, spelling): the runs that lead to each spelling, those that hold its rarest part."""
+    entries = _entries(runs, parts)
+    counts = entries.groupBy("kind", "part").agg(F.sum("pages").alias("pages"))
+    held = parts.join(counts, ["kind", "part"], "left").groupBy("id", "rank", "spelling").agg(
+        F.min(F.struct(F.coalesce("pages", F.lit(0)).alias("pages"), "kind", "part")).alias("rarest"))
+    chosen = held.where("rarest.pages > 0").select("id", "rank", "spelling", "rarest.kind", "rarest.part")
+    return chosen.join(entries, ["kind", "part"]).select("run", "id", "rank", "spelling")
 
 
 def ids_in_texts(texts: DataFrame, ids: DataFrame, page: str, text: str, key: str = "processo_id") -> DataFrame:
@@ -75,17 +85,13 @@ def ids_in_texts(texts: DataFrame, ids: DataFrame, page: str, text: str, key: st
 
     The variation is the first in the order of spellings. ``page`` names a text.
     """
-    spelled = spellings(ids, key)
-    parts = store(_parts(spelled), "spelling_parts")
-    index = store(_index(texts, page, text, parts), "run_index")
-    asked = index.join(parts.select("kind", "part").distinct(), ["kind", "part"], "left_semi")
-    counts = asked.groupBy("kind", "part").agg(F.count("*").alias("pages"))
-    held = parts.join(counts, ["kind", "part"], "left").groupBy("id", "rank", "spelling").agg(
-        F.min(F.coalesce("pages", F.lit(0))).alias("least"),
-        F.min(F.struct(F.coalesce("pages", F.lit(0)), "kind", "part")).alias("rarest"))
-    chosen = held.where("least > 0").select("id", "rank", "spelling", "rarest.kind", "rarest.part")
-    found = chosen.join(index, ["kind", "part"]).select("page", "id", "rank", "spelling")
-    bodies = texts.select(F.col(page).alias("page"), F.lower(text).alias("body"))
+    parts = store(_parts(spellings(ids, key)), "spelling_parts")
+    bodies = store(texts.select(F.col(page).alias("page"), F.lower(text).alias("body")), "bodies")
+    tokens = bodies.select("page", F.explode(F.array_distinct(_runs(F.col("body")))).alias("run"))
+    runs = store(tokens.groupBy("run").agg(F.count("*").alias("pages")), "runs")
+    leads = store(_leads(parts, runs), "leads")
+    idle = runs.join(leads.select("run").distinct(), "run", "left_anti").orderBy(F.desc("pages")).limit(IDLE)
+    kept = tokens.join(F.broadcast(idle), "run", "left_anti")
+    found = kept.join(leads, "run").select("page", "id", "rank", "spelling")
     hits = found.join(bodies, "page").where(F.contains("body", F.col("spelling")))
-    best = hits.groupBy("page", "id").agg(F.min("rank").alias("rank"))
-    return best.join(spelled, ["id", "rank"]).select("page", "id", F.col("spelling").alias("matched_variation"))
+    return hits.groupBy("page", "id").agg(F.min_by("spelling", "rank").alias("matched_variation"))

@@ -43,3 +43,20 @@ def test_search_in_nothing(spark):
     assert id_search.ids_in_texts(empty, ids, "page", "body").count() == 0
     texts = spark.createDataFrame([(1, "A-1")], "page long, body string")
     assert id_search.ids_in_texts(texts, ids.limit(0), "page", "body").count() == 0
+
+
+def test_what_is_stored_grows_with_distinct_runs(spark, monkeypatch):
+    """Pages that share their words are not each cut into the parts that spellings ask for."""
+    stored, write = {}, id_search.store
+
+    def counted(df, name):
+        kept = write(df, name)
+        stored[name] = kept.count()
+        return kept
+
+    monkeypatch.setattr(id_search, "store", counted)
+    ids = spark.createDataFrame([(f"GARBAGE-{i}",) for i in (1, 12, 123, 1234, 12345)], "processo_id string")
+    words = " ".join(f"palavra{i:05d}" for i in range(40))
+    texts = spark.createDataFrame([(i, f"{words} garbage-12345") for i in range(50)], "page long, body string")
+    assert id_search.ids_in_texts(texts, ids, "page", "body").count() == 250
+    assert max(stored.values()) <= 50  # pages, runs, parts and leads; not pages times parts
