@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pactum.sources.stage_store import store
 
 __all__ = ["documents", "store", "text_slices", "Memo", "ragged_append", "ragged_gather",
-           "membership", "may_hold", "released"]
+           "membership", "may_hold", "released", "by_key"]
 
 #: Characters of text that a Python worker handles at once; one longer text is handled alone.
 SLICE_CHARS = 4_000_000
@@ -25,6 +25,15 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def by_key(df: DataFrame) -> DataFrame:
+    """``df`` for a join that moves both sides by key, whatever sizes Spark expects.
+
+    It sizes a stored table by its files, where arrays and binary values count as a few bytes of a
+    row, and rows of an explode as their input; such a table would go to the driver whole.
+    """
+    return df.hint("merge")
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

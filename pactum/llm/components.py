@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.common import store
+from pactum.llm.common import by_key, store
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or itself)."""
     both = links.union(links.select("b", "a")).toDF("u", "v")
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.join(least, "u").where("v > u").select(
+    return both.join(by_key(least), "u").where("v > u").select(
         F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
@@ -20,7 +20,7 @@ def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v != m").select("v", "m")
+    moved = down.join(by_key(least), "u").where("v != m").select("v", "m")
     return moved.union(least.select("u", "m")).toDF("a", "b").distinct()
 
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.common import FILTER_WORDS, membership, store, text_slices
+from pactum.llm.common import FILTER_WORDS, by_key, membership, store, text_slices
 from pactum.llm.components import components
 from pactum.llm.minhash import shingle_sets
 
@@ -127,8 +127,8 @@ def _likely(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that sizes and parity bits allow."""
     both = pairs
     for end in ("a", "b"):
-        both = both.join(members.select(
-            F.col("id").alias(end), F.col("n").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits")), end)
+        both = both.join(by_key(members.select(
+            F.col("id").alias(end), F.col("n").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits"))), end)
 
     def run(batches):
         for batch in batches:
@@ -156,9 +156,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, width: int,
                 [part.column(0), _keys(sets), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["id", "set_key", "grams"])
 
-    texts = docs.select("doc_id", "text").join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+    texts = docs.select("doc_id", "text").join(
+        by_key(ids.withColumnRenamed("id", "doc_id")), "doc_id", "left_semi")
     sets = store(texts.mapInArrow(make, "id long, set_key binary, grams binary").join(
-        members.select("id", "set_key"), ["id", "set_key"], "left_semi").dropDuplicates(["id", "set_key"]), "sets")
+        by_key(members.select("id", "set_key")), ["id", "set_key"], "left_semi").dropDuplicates(["id", "set_key"]), "sets")
 
     def run(batches):
         for batch in batches:
@@ -171,7 +172,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, width: int,
 
     both = pairs
     for end in ("a", "b"):
-        both = both.join(sets.select(F.col("id").alias(end), F.col("grams").alias(f"{end}_grams")), end)
+        both = both.join(by_key(sets.select(F.col("id").alias(end), F.col("grams").alias(f"{end}_grams"))), end)
     return both.select("a", "b", "a_grams", "b_grams").mapInArrow(run, "a long, b long")
 
 
@@ -181,9 +182,9 @@ def _busiest(groups: DataFrame, key: str) -> DataFrame:
     Score and id are one number each, so the aggregate keeps fixed-width values.
     """
     scores = groups.groupBy("group").agg(F.count("*").alias("score"))
-    scored = groups.join(scores, "group")
+    scored = groups.join(by_key(scores), "group")
     top = scored.groupBy(key).agg(F.max("score").alias("score"))
-    return scored.join(top, [key, "score"]).groupBy(key).agg(F.min("group").alias("centre"))
+    return scored.join(by_key(top), [key, "score"]).groupBy(key).agg(F.min("group").alias("centre"))
 
 
 def _open_buckets(spread: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -192,14 +193,14 @@ def _open_buckets(spread: DataFrame, labels: DataFrame) -> tuple[DataFrame, Data
     Of large buckets with the same members one is kept.
     """
     labels = store(labels, "labels")
-    placed = spread.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").select(
+    placed = spread.join(by_key(labels.select(F.col("node").alias("id"), "component")), "id", "left").select(
         "bucket", "place", "id", "n", F.coalesce("component", "id").alias("component"))
     found = placed.groupBy("bucket").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"),
         F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where("lo != hi")
     once = found.where(F.col("rows") > SMALL).groupBy("rows", "x", "y").agg(F.min("bucket").alias("bucket"))
     kept = found.where(F.col("rows") <= SMALL).select("bucket", "rows").union(once.select("bucket", "rows"))
-    open_ = store(placed.join(kept, "bucket"), "open_buckets")
+    open_ = store(placed.join(by_key(kept), "bucket"), "open_buckets")
     return open_.where(F.col("rows") <= SMALL), open_.where(F.col("rows") > SMALL)
 
 
@@ -207,7 +208,7 @@ def _listed(small: DataFrame, percent: int) -> DataFrame:
     """Pairs of small buckets that sizes allow, and the places of a gram that is their first common one."""
     side = lambda end: small.select("bucket", *[
         F.col(c).alias(f"{end}_{c}") for c in ("id", "place", "n", "component")])
-    both = side("a").join(side("b"), "bucket")
+    both = side("a").join(by_key(side("b")), "bucket")
     behind = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
     return both.where(
         (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component"))
@@ -224,13 +225,13 @@ def _blocks(placed: DataFrame) -> DataFrame:
     """
     sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("rows"))
     most = sizes.groupBy("bucket").agg(F.max("rows").alias("rows"))
-    main = sizes.join(most, ["bucket", "rows"]).groupBy("bucket").agg(F.min("component").alias("main"))
-    sided = placed.join(main, "bucket").withColumn("rest", F.col("component") != F.col("main"))
+    main = sizes.join(by_key(most), ["bucket", "rows"]).groupBy("bucket").agg(F.min("component").alias("main"))
+    sided = placed.join(by_key(main), "bucket").withColumn("rest", F.col("component") != F.col("main"))
     held = F.lit(ROW_BYTES) + F.col("n") / 4
     number = lambda own: F.ceil(F.sum(F.when(own, held)) / BLOCK_BYTES)
     counts = sided.groupBy("bucket").agg(
         number(F.col("rest")).alias("rests"), number(~F.col("rest")).alias("mains"))
-    at = sided.join(counts, "bucket").withColumn("block", F.pmod(
+    at = sided.join(by_key(counts), "bucket").withColumn("block", F.pmod(
         F.xxhash64("id"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))))
     block = F.col("block")
     pair = lambda i, j: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"))
@@ -245,7 +246,7 @@ def _blocks(placed: DataFrame) -> DataFrame:
 
 def _across(placed: DataFrame, members: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Likely pairs of different components that share a bucket; a forest of them if asked."""
-    rows = _blocks(placed).join(members.select("id", "n", "bits"), ["id", "n"])
+    rows = _blocks(placed).join(by_key(members.select("id", "n", "bits")), ["id", "n"])
     filled = rows.groupBy("bucket", "pair").agg(F.collect_list(
         F.struct("n", "id", "component", "rest", "block", "bits")).alias("rows"))
 
@@ -311,20 +312,20 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         F.col("count") > FREQUENT)
     late = np.array(membership(often, F.col("gram")).first()["bits"], np.int64).view(np.uint64)
     members = store(
-        _second_pass(docs, late, width, percent).join(classes, ["set_key", "id"]).dropDuplicates(
+        _second_pass(docs, late, width, percent).join(by_key(classes), ["set_key", "id"]).dropDuplicates(
             ["set_key", "id"]), "members")
 
     # Groups of equal prefix and size, named by their first member.
     groups = members.groupBy("prefix_key", "n").agg(F.min("id").alias("group"))
-    grouped = store(members.select("id", "prefix_key", "n").join(groups, ["prefix_key", "n"]).select(
+    grouped = store(members.select("id", "prefix_key", "n").join(by_key(groups), ["prefix_key", "n"]).select(
         "id", "n", "group").distinct(), "groups")
-    postings = members.join(grouped.where("id = group").select("id"), "id", "left_semi").select(
+    postings = members.join(by_key(grouped.where("id = group").select("id")), "id", "left_semi").select(
         F.col("id").alias("group"), F.posexplode("prefix").alias("place", "bucket"))
     shared = postings.groupBy("bucket").agg(F.count("*").alias("groups")).where("groups > 1")
-    buckets = store(postings.join(shared.select("bucket"), "bucket"), "buckets")
+    buckets = store(postings.join(by_key(shared.select("bucket")), "bucket"), "buckets")
 
     # Each group to the busiest group of its grams, each member to its group's first.
-    stars = buckets.join(_busiest(buckets, "bucket"), "bucket").where("group != centre").select(
+    stars = buckets.join(by_key(_busiest(buckets, "bucket")), "bucket").where("group != centre").select(
         F.col("group").alias("a"), F.col("centre").alias("b"))
     inside = grouped.where("id != group").select(F.col("id").alias("a"), F.col("group").alias("b"))
     verify = lambda pairs: _verified(pairs, docs, members, width, percent)
@@ -332,8 +333,8 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 
     # Buckets with several components: grams with the members of their groups, and the groups themselves.
     several = grouped.groupBy("group").count().where("count > 1").select("group")
-    spread = store(buckets.join(grouped, "group").select("bucket", "place", "id", "n").union(
-        grouped.join(several, "group").select(
+    spread = store(buckets.join(by_key(grouped), "group").select("bucket", "place", "id", "n").union(
+        grouped.join(by_key(several), "group").select(
             F.xxhash64(F.lit("group"), "group").alias("bucket"), F.lit(0).alias("place"), "id", "n")), "spread")
     small, large = _open_buckets(spread, components(links))
     more = store(verify(_likely(_listed(small, percent), members, percent).union(
@@ -345,11 +346,11 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 
     # Rows that share an id are linked with each other.
     twice = named.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo != hi")
-    same = named.join(twice.select("doc_id"), "doc_id", "left_semi").join(
-        classes.select("set_key", "id"), "set_key").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    same = named.join(by_key(twice.select("doc_id")), "doc_id", "left_semi").join(
+        by_key(classes.select("set_key", "id")), "set_key").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     labels = components(links.union(same))
-    at = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
+    at = classes.join(by_key(labels.withColumnRenamed("node", "id")), "id", "left").select(
         "set_key", F.coalesce("component", "id").alias("component_id"))
-    return base.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(at, "set_key", "left").select(
+    return base.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(by_key(at), "set_key", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

@@ -11,7 +11,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from pactum.llm import checks, conversation_repair as repair, ngram_join, phrases
+from pactum.llm import checks, components, conversation_repair as repair, ngram_join, phrases
 from test_texts import EDGE, edge, empty
 
 
@@ -243,6 +243,24 @@ def test_one_large_group_of_near_copies(spark):
     assert got == plain_groups(docs, 3, 90)
 
 
+def test_no_join_sends_a_side_to_the_driver(spark, monkeypatch):
+    """Sizes that Spark expects are far too low after an explode, so no join may go by them."""
+    plans = []
+    store = ngram_join.store
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    def watched(df, name):
+        plan(df)
+        return store(df, name)
+
+    monkeypatch.setattr(ngram_join, "store", watched)
+    monkeypatch.setattr(components, "store", watched)
+    df = spark.createDataFrame(near_copies(seed=2), "doc_id long, text string")
+    plan(ngram_join.similar_groups(df, 3, 90))
+    assert sum("Join" in p for p in plans) > 8
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_join_of_an_empty_table(spark):
     assert ngram_join.similar_groups(empty(spark)).count() == 0
 
