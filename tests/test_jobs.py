@@ -445,3 +445,13 @@ def test_a_sink_commits_its_own_table_only(spark, sf_dir):
     assert [set(s.manifest()) for s in t.published_tables.values()] == [{"raw"}, {"publications"}]
     assert rows.count() == t.contract_docs.count()
     assert not {"preprocessed", "parsed_documents", "compliance"} & set(vars(t))
+
+
+def test_summaries_are_all_published_and_read(spark, sf_dir):
+    names = {"alerts_summary", "conformity_summary", "queue", "aggregate", "state_index"}
+    t = Tables(spark, sf_dir)
+    rows = QUERIES["sink_summaries"].build(t)
+    assert [set(s.manifest()) for s in t.published_tables.values()] == [names]
+    counted = {r.summary: r["count"] for r in rows.groupBy("summary").count().collect()}
+    assert set(counted) == names
+    assert counted["state_index"] == t.state.count() and counted["queue"] == QUERIES["export_queue_csv"].build(t).count()
