@@ -321,8 +321,7 @@ SELECT coalesce(p.processo_id, e.processo_id) AS processo_id, CASE WHEN e.proces
   CASE WHEN e.processo_id IS NOT NULL THEN '03/03/2026' ELSE p.publication_date END AS publication_date
 FROM ({_STRUCTURED}) p FULL JOIN (SELECT processo_id FROM k_clean WHERE {test('c', K.EMBEDDED_TRIGGER, 'i')}) e ON e.processo_id = p.processo_id""")
 def embedded_to_publication(t):
-    both = G.prefer_embedded(G.consolidate(t.parsed_documents), T.embedded_as_publication(t.preprocessed))
-    return both.select(KEY, "source", "documents_found", "publication_date")
+    return t.structured.select(KEY, "source", "documents_found", "publication_date")
 
 
 # -- requests ------------------------------------------------------------------------------

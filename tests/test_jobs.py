@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 import compare
 import __spark_entry__ as entry
 from pactum import schemas
+from pactum.operators.contract_text import detect_appendices
 from pactum.operators.discovery import discovery_metadata
 from pactum.operators.evaluate import compliance_stage
+from pactum.operators.gazette_text import consolidate, parsed_documents, primary_publications
 from pactum.operators.ranking import (
     global_rank,
     last_per_process,
@@ -455,3 +457,33 @@ def test_summaries_are_all_published_and_read(spark, sf_dir):
     counted = {r.summary: r["count"] for r in rows.groupBy("summary").count().collect()}
     assert set(counted) == names
     assert counted["state_index"] == t.state.count() and counted["queue"] == QUERIES["export_queue_csv"].build(t).count()
+
+
+def test_structured_publications_need_no_other_parse(spark, sf_dir):
+    entry.queries()
+    t, whole = Tables(spark, sf_dir), Tables(spark, sf_dir)
+    assert whole.parsed_documents.count() and whole.preprocessed.count()
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(t.structured) == rows(whole.structured)
+    assert not {"preprocessed", "parsed_documents"} & set(vars(t))
+
+
+def test_primary_document_is_chosen_before_its_text_is_parsed(spark):
+    texts = {1: "Processo Instrutivo: A/2024\nEXTRATO DE CONTRATO\nData da Assinatura: 01/02/2024",
+             2: "Terça-feira, 3 de março de 2026\nEXTRATO DE CONTRATO\nValor Total: R$ 2,00"}
+    rows = [("a", i, hint, "09/09/2023", ok, None, texts.get(i % 3, "")) for i, (hint, ok) in enumerate([
+        ("structured_contract", True), ("unknown", True), ("structured_contract", True), (None, True),
+        ("structured_contract", False)])]
+    rows += [("b", 1, None, None, None, None, texts[1]), ("c", 4, None, "", True, "", texts[1]), (None, 2, None, None, True, None, texts[2])]
+    docs = spark.createDataFrame(
+        rows, "processo_id string, document_index long, content_hint string, meta_date string, "
+              "quality_passes boolean, extraction_error string, raw_text string")
+    got = sorted(map(str, primary_publications(docs).collect()))
+    assert got == sorted(map(str, consolidate(parsed_documents(docs)).collect()))
+    assert len(got) == 3 and "03/03/2026" in got[1] + got[2]
+
+
+def test_appendices_are_cut_out_of_the_text_once(spark):
+    df = spark.createDataFrame([("CLÁUSULA X - Y",)], "pieces string").select(F.split("pieces", "-").alias("pieces"))
+    plan = df.select(detect_appendices(F.col("pieces")).alias("found"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LISTAGEM") == 1
